@@ -239,18 +239,21 @@ def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- T3-T9 on stand-in listings --------------------------------------------------
 def silver_all(spark: SparkSession, d: str) -> DataFrame:
-    return silver.silver_products(listings(spark, d))
+    """Silver products with provenance, materialized once (as the silver layer is
+    written once in the jobs), so the dimension and fact steps read it back
+    instead of re-deriving the listings for every use."""
+    return silver.silver_products(listings(spark, d)).checkpoint(eager=True)
 
 
-def _loads(spark, d):
-    s = silver_all(spark, d)
+def _loads(spark, d, s=None):
+    s = silver_all(spark, d) if s is None else s
     in1 = F.col(SRC_FILE).isin(LOAD1_FILES)
     return s.where(in1), s.where(~in1)
 
 
-def two_load_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Dimensions after load 1 (empty mart) and load 2, without writing anything."""
-    load1, load2 = _loads(spark, d)
+def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Dimensions after load 1 (empty mart) and load 2, without writing to a mart."""
+    load1, load2 = _loads(spark, d, s)
     out = {}
     specs = {
         "dim_seller": (gold.seller_rows, ["seller_id"], None),
@@ -264,7 +267,8 @@ def two_load_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
                                         r1.limit(0).withColumn(surrogate, F.lit(None).cast("long")),
                                         key, surrogate=surrogate, start=0 if surrogate else None)
         second = gold.new_dimension_rows(rows_of(load2), first, key, surrogate=surrogate)
-        out[name] = first.unionByName(second)
+        # the dimension as the mart holds it after both loads
+        out[name] = first.unionByName(second).checkpoint(eager=True)
     return out
 
 
@@ -285,8 +289,9 @@ def dim_product(spark, d):
 
 
 def fact_star_join(spark: SparkSession, d: str) -> DataFrame:
-    dims = two_load_dims(spark, d)
-    return gold.fact_rows(silver_all(spark, d), dims["dim_product"], dims["dim_seller"],
+    s = silver_all(spark, d)
+    dims = two_load_dims(spark, d, s)
+    return gold.fact_rows(s, dims["dim_product"], dims["dim_seller"],
                           dims["dim_category"], dims["dim_brand"])
 
 
