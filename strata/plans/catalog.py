@@ -251,7 +251,8 @@ def _loads(spark, d, s=None):
     return s.where(in1), s.where(~in1)
 
 
-def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None) -> dict[str, DataFrame]:
+def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
+                  only: list[str] | None = None) -> dict[str, DataFrame]:
     """Dimensions after load 1 (empty mart) and load 2, without writing to a mart."""
     load1, load2 = _loads(spark, d, s)
     out = {}
@@ -262,6 +263,8 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None) -> di
         "dim_product": (gold.product_rows, ["product_id"], None),
     }
     for name, (rows_of, key, surrogate) in specs.items():
+        if only and name not in only:
+            continue
         r1 = rows_of(load1)
         first = gold.new_dimension_rows(r1, r1.limit(0) if surrogate is None else
                                         r1.limit(0).withColumn(surrogate, F.lit(None).cast("long")),
@@ -273,19 +276,19 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None) -> di
 
 
 def dim_seller(spark, d):
-    return two_load_dims(spark, d)["dim_seller"]
+    return two_load_dims(spark, d, only=["dim_seller"])["dim_seller"]
 
 
 def dim_category(spark, d):
-    return two_load_dims(spark, d)["dim_category"]
+    return two_load_dims(spark, d, only=["dim_category"])["dim_category"]
 
 
 def dim_brand(spark, d):
-    return two_load_dims(spark, d)["dim_brand"]
+    return two_load_dims(spark, d, only=["dim_brand"])["dim_brand"]
 
 
 def dim_product(spark, d):
-    return two_load_dims(spark, d)["dim_product"]
+    return two_load_dims(spark, d, only=["dim_product"])["dim_product"]
 
 
 def fact_star_join(spark: SparkSession, d: str) -> DataFrame:
