@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # monotonically_increasing_id() puts the partition index above bit 33.
@@ -41,21 +41,25 @@ def assign_keys(df: DataFrame, key: str, order: list, start: int = 0) -> DataFra
 
     Distributed numbering: range-partition and sort by ``order``, checkpoint (so
     the sampled range bounds and the row positions are fixed even if a task is
-    re-run), count rows per partition, turn the counts into offsets (one row per
-    partition, a proven bound, so broadcast), and add the position inside the
-    partition. No step puts all rows in one task.
+    re-run), count rows per partition -- one number per partition reaches the
+    driver -- and add each partition's offset (a literal array indexed by the
+    partition id) to the row's position inside its partition. No step puts all
+    rows in one task, and no window or join is needed.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ordered = df.orderBy(*[c.asc_nulls_first() for c in order_cols]).checkpoint(eager=True)
     pos = ordered.select("*", F.spark_partition_id().alias("_pid"),
                          F.monotonically_increasing_id().alias("_mid"))
-    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    counts = dict(pos.groupBy("_pid").count().collect())
+    offsets, total = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(pid, 0)
+    offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
+              if offsets else F.lit(0).cast("long"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _PARTITION_SHIFT)
-    return (pos.join(F.broadcast(offsets), "_pid")
-               .withColumn(key, (F.lit(start) + F.col("_off") + local + F.lit(1)).cast("long"))
-               .drop("_pid", "_mid", "_off"))
+    return (pos.withColumn(key, (F.lit(start) + offset + local + F.lit(1)).cast("long"))
+               .drop("_pid", "_mid"))
 
 
 def hash_key(cols: list[str]) -> Column:
