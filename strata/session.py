@@ -38,6 +38,7 @@ def build_session(master: str = "local[8]", app: str = "strata",
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g")))
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
