@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# monotonically_increasing_id() puts the partition index above bit 33.
-_PARTITION_SHIFT = 33
+from strata.session import materialize
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, on: list[str],
@@ -39,27 +38,27 @@ def max_key(existing: DataFrame, key: str) -> int:
 def assign_keys(df: DataFrame, key: str, order: list, start: int = 0) -> DataFrame:
     """Add ``key`` = start+1, start+2, ... following ``order`` (a total order).
 
-    Distributed numbering: range-partition and sort by ``order``, checkpoint (so
-    the sampled range bounds and the row positions are fixed even if a task is
-    re-run), count rows per partition -- one number per partition reaches the
-    driver -- and add each partition's offset (a literal array indexed by the
-    partition id) to the row's position inside its partition. No step puts all
-    rows in one task, and no window or join is needed.
+    Distributed numbering: range-sort by ``order`` and write the result once
+    (one file per range partition, files named in range order, rows sorted inside),
+    read it back with each row's file name and position in the file, count rows
+    per file -- one number per file reaches the driver -- and add the file's offset
+    (a literal map) to the row's position. No step puts all rows in one task, the
+    numbering does not depend on how the read is split, and a re-run task reads
+    the same files.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ordered = df.orderBy(*[c.asc_nulls_first() for c in order_cols]).checkpoint(eager=True)
-    pos = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                         F.monotonically_increasing_id().alias("_mid"))
-    counts = dict(pos.groupBy("_pid").count().collect())
-    offsets, total = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(pid, 0)
-    offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
-              if offsets else F.lit(0).cast("long"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _PARTITION_SHIFT)
-    return (pos.withColumn(key, (F.lit(start) + offset + local + F.lit(1)).cast("long"))
-               .drop("_pid", "_mid"))
+    written = materialize(df.orderBy(*[c.asc_nulls_first() for c in order_cols]), "keys")
+    pos = written.select("*", F.col("_metadata.file_name").alias("_file"),
+                         F.col("_metadata.row_index").alias("_row"))
+    counts = sorted(pos.groupBy("_file").count().collect())
+    offsets, total = {}, 0
+    for f, n in counts:
+        offsets[f] = total
+        total += n
+    offset = (F.create_map(*[x for f, o in offsets.items() for x in (F.lit(f), F.lit(o).cast("long"))])
+              [F.col("_file")] if offsets else F.lit(0).cast("long"))
+    return (pos.withColumn(key, (F.lit(start) + offset + F.col("_row") + F.lit(1)).cast("long"))
+               .drop("_file", "_row"))
 
 
 def hash_key(cols: list[str]) -> Column:

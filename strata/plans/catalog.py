@@ -22,7 +22,7 @@ from strata.operators.profile import profile
 from strata.plans import gold, silver
 from strata.plans.stand_in import decorate, landed_pages, listings, reviews, table
 from strata.schemas import CATEGORY_NATURAL_KEY, REVIEW, SRC_FILE
-from strata.session import scratch_path
+from strata.session import materialize, scratch_path
 from strata.sources.lake import read_csv, write_csv, write_parquet
 from strata.sources.mart import ParquetMart
 from strata.sources.pages import landed_rows
@@ -242,7 +242,7 @@ def silver_all(spark: SparkSession, d: str) -> DataFrame:
     """Silver products with provenance, materialized once (as the silver layer is
     written once in the jobs), so the dimension and fact steps read it back
     instead of re-deriving the listings for every use."""
-    return silver.silver_products(listings(spark, d)).checkpoint(eager=True)
+    return materialize(silver.silver_products(listings(spark, d)), "silver")
 
 
 def _loads(spark, d, s=None):
@@ -271,7 +271,7 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
                                         key, surrogate=surrogate, start=0 if surrogate else None)
         second = gold.new_dimension_rows(rows_of(load2), first, key, surrogate=surrogate)
         # the dimension as the mart holds it after both loads
-        out[name] = first.unionByName(second).checkpoint(eager=True)
+        out[name] = materialize(first.unionByName(second), name)
     return out
 
 

@@ -80,3 +80,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the plan once
+    (an eager ``checkpoint()`` without a cache runs it twice) and stores columnar
+    data. Paths are never reused.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
