@@ -21,7 +21,7 @@ from strata.operators.nulls import fill, fill_numeric, require
 from strata.operators.profile import profile
 from strata.plans import gold, silver
 from strata.plans.stand_in import decorate, landed_pages, listings, reviews, table
-from strata.schemas import CATEGORY_NATURAL_KEY, REVIEW, SRC_FILE
+from strata.schemas import CATEGORY_NATURAL_KEY, REVIEW, SRC_FILE, SRC_ROW
 from strata.session import materialize, scratch_path
 from strata.sources.lake import read_csv, write_csv, write_parquet
 from strata.sources.mart import ParquetMart
@@ -356,6 +356,30 @@ def medallion_two_loads(spark: SparkSession, d: str) -> DataFrame:
                       ["dim_seller", "dim_category", "dim_brand", "dim_product", "fact"]])
 
 
+def land_stand_in(spark: SparkSession, d: str, root: str) -> tuple[str, str]:
+    """Write the stand-in listings as category folders and the reviews as CSV files,
+    each range-partitioned in file order (files named in that order)."""
+    listing_dir, review_dir = f"{root}/listings", f"{root}/reviews"
+    (listings(spark, d).withColumnRenamed(SRC_FILE, "category")
+        .repartitionByRange("category", SRC_ROW).sortWithinPartitions("category", SRC_ROW)
+        .drop(SRC_ROW).write.partitionBy("category").parquet(listing_dir))
+    rv = reviews(spark, d)
+    write_csv(rv.repartitionByRange(SRC_ROW).sortWithinPartitions(SRC_ROW).drop(SRC_FILE, SRC_ROW),
+              review_dir)
+    return listing_dir, review_dir
+
+
+def medallion_run(spark: SparkSession, d: str) -> DataFrame:
+    """T1-T12 from landed files: the stand-in listings land as category folders
+    (written in file order by many tasks) and the reviews as CSV files; then
+    bronze, silver and gold run into a Parquet mart. Returns every gold table's profile."""
+    from strata.plans.medallion import Lake, run
+    root = scratch_path(spark, "medallion_run")
+    listing_dir, review_dir = land_stand_in(spark, d, f"{root}/landing")
+    return run(spark, listing_dir, review_dir, Lake(f"{root}/lake"),
+               ParquetMart(spark, f"{root}/mart"), partition_column="category")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_star_join": fact_star_join,
     "nested_flatten": nested_flatten,
@@ -392,4 +416,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "mart_roundtrip": mart_roundtrip,
     "medallion_two_loads": medallion_two_loads,
+    "medallion_run": medallion_run,
 }

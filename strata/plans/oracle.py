@@ -295,4 +295,9 @@ SQL: dict[str, str] = {
     "csv_roundtrip": f"WITH {REVIEW_CTE} SELECT id, product_id, seller_id, seller_name, customer_id, content, rating FROM rv",
     "mart_roundtrip": "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier",
     "medallion_two_loads": f"WITH {DIM_CTES} {_fact_profile()}",
+    "medallion_run": f"""WITH {DIM_CTES}, {REVIEW_CTE},
+        rfirst AS (SELECT * FROM rv QUALIFY row_number() OVER (PARTITION BY id, product_id, seller_id ORDER BY _c, _d) = 1)
+        {_fact_profile()} UNION ALL
+        SELECT 'review' AS table_name, count(*) AS row_numbers, 5 AS column_numbers FROM rfirst
+        WHERE id IS NOT NULL AND product_id IS NOT NULL AND seller_id IS NOT NULL""",
 }
