@@ -298,6 +298,12 @@ def fact_star_join(spark: SparkSession, d: str) -> DataFrame:
                           dims["dim_category"], dims["dim_brand"])
 
 
+def dim_seller_full_row(spark: SparkSession, d: str) -> DataFrame:
+    """Reference rule (strict=False): full-row distinct, so a seller seen with two
+    seller types keeps two rows."""
+    return gold.seller_rows(silver_all(spark, d), strict=False)
+
+
 def silver_products_q(spark: SparkSession, d: str) -> DataFrame:
     return silver.silver_products(listings(spark, d), provenance=False)
 
@@ -408,6 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_category": dim_category,
     "dim_brand": dim_brand,
     "dim_product": dim_product,
+    "dim_seller_full_row": dim_seller_full_row,
     "silver_products": silver_products_q,
     "silver_reviews": silver_reviews_q,
     "table_profile": table_profile,

@@ -87,15 +87,15 @@ def new_dimension_rows(rows: DataFrame, existing: DataFrame, key: list[str],
 
 
 def fact_rows(silver: DataFrame, dim_product: DataFrame, dim_seller: DataFrame,
-              dim_category: DataFrame, dim_brand: DataFrame,
-              category_on_path_only: bool = False) -> DataFrame:
+              dim_category: DataFrame, dim_brand: DataFrame) -> DataFrame:
     """Silver listings resolved to dimension keys, numeric nulls set to 0.
 
     Dimensions are the whole current tables (so facts of known products resolve
-    too). Category is joined on its 3-column natural key; ``category_on_path_only``
-    is the reference's path-only join (fans out when a path has several rows).
+    too). Category is joined on its full 3-column natural key. The reference's
+    path-only join is not offered: it pairs each fact with every category row
+    sharing the path.
     """
-    cat_on = ["primary_category_path"] if category_on_path_only else CATEGORY_NATURAL_KEY
+    cat_on = CATEGORY_NATURAL_KEY
     facts = silver.select(to_long("id").alias("product_id"), "seller_id", *CATEGORY_NATURAL_KEY,
                           "brand_name", *FACT_MEASURES)
     joined = star_join(facts, [

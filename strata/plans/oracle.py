@@ -128,6 +128,26 @@ _CAT_NS = " AND ".join(f"e.{c} IS NOT DISTINCT FROM n.{c}" for c in _CAT)
 _PRODUCT_COLS = ("name, url_key, url_path, availability, is_imported, is_authentic, tiki_verified, "
                  "is_tikinow, is_tikipro, is_ad, inventory_status, is_visible, origin, freegift_items, shippable")
 
+_CAT_JOIN_FULL = ("s.category = c.category AND s.primary_category_path = c.primary_category_path "
+                  "AND s.primary_category_name = c.primary_category_name")
+
+
+def _fact_cte(name: str, cat_join: str) -> str:
+    return """{name} AS (
+ SELECT s.id AS product_id, s.seller_id, c.category_id, b.brand_id,
+  coalesce(price, 0) AS price, coalesce(list_price, 0) AS list_price, coalesce(discount, 0) AS discount,
+  coalesce(discount_rate, 0) AS discount_rate, coalesce(rating_average, 0) AS rating_average,
+  coalesce(review_count, 0) AS review_count, coalesce(favourite_count, 0) AS favourite_count,
+  coalesce(original_price, 0) AS original_price,
+  coalesce(all_time_quantity_sold, 0) AS all_time_quantity_sold,
+  coalesce(number_of_reviews, 0) AS number_of_reviews, coalesce(search_rank, 0) AS search_rank
+ FROM silver s
+ JOIN dim_product p ON s.id = p.product_id
+ JOIN dim_seller se ON s.seller_id = se.seller_id
+ JOIN dim_category c ON {cat_join}
+ JOIN dim_brand b ON s.brand_name = b.brand_name)""".format(name=name, cat_join=cat_join)
+
+
 DIM_CTES = SILVER_CTES + f""",
 load1 AS (SELECT * FROM silver WHERE _src_file IN ({_LOAD1})),
 load2 AS (SELECT * FROM silver WHERE _src_file NOT IN ({_LOAD1})),
@@ -160,20 +180,7 @@ p2 AS (SELECT id AS product_id, {lenient_long('sku')} AS sku, {_PRODUCT_COLS} FR
        WHERE NOT EXISTS (SELECT 1 FROM p1 e WHERE e.product_id IS NOT DISTINCT FROM n.id)
        QUALIFY row_number() OVER (PARTITION BY id ORDER BY {_ORD}) = 1),
 dim_product AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2),
-fact AS (
- SELECT s.id AS product_id, s.seller_id, c.category_id, b.brand_id,
-  coalesce(price, 0) AS price, coalesce(list_price, 0) AS list_price, coalesce(discount, 0) AS discount,
-  coalesce(discount_rate, 0) AS discount_rate, coalesce(rating_average, 0) AS rating_average,
-  coalesce(review_count, 0) AS review_count, coalesce(favourite_count, 0) AS favourite_count,
-  coalesce(original_price, 0) AS original_price,
-  coalesce(all_time_quantity_sold, 0) AS all_time_quantity_sold,
-  coalesce(number_of_reviews, 0) AS number_of_reviews, coalesce(search_rank, 0) AS search_rank
- FROM silver s
- JOIN dim_product p ON s.id = p.product_id
- JOIN dim_seller se ON s.seller_id = se.seller_id
- JOIN dim_category c ON s.category = c.category AND s.primary_category_path = c.primary_category_path
-                     AND s.primary_category_name = c.primary_category_name
- JOIN dim_brand b ON s.brand_name = b.brand_name)"""
+{_fact_cte("fact", _CAT_JOIN_FULL)}"""
 
 REVIEW_CTE = f"""
 rv AS (
@@ -277,6 +284,8 @@ SQL: dict[str, str] = {
     "dim_brand": f"WITH {DIM_CTES} SELECT * FROM dim_brand",
     "dim_product": f"WITH {DIM_CTES} SELECT * FROM dim_product",
     "fact_star_join": f"WITH {DIM_CTES} SELECT * FROM fact",
+    "dim_seller_full_row": f"""WITH {SILVER_CTES}
+        SELECT DISTINCT seller_id, seller_type, is_official_store, is_trusted_store FROM silver""",
     "silver_products": f"WITH {SILVER_CTES} SELECT {SILVER_COLS} FROM silver",
     "silver_reviews": f"""WITH {REVIEW_CTE},
         firsts AS (SELECT * FROM rv QUALIFY row_number() OVER (PARTITION BY id, product_id, seller_id ORDER BY _c, _d) = 1)
