@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from strata.functions.columns import path_level, to_long
 from strata.operators.dedup import distinct, keep_first
 from strata.operators.keys import assign_keys, max_key, new_rows
-from strata.operators.nulls import fill_numeric, is_empty
+from strata.operators.nulls import fill_numeric
+from strata.operators.profile import observation_profile, observed
 from strata.operators.star import Dim, star_join
 from strata.schemas import (CATEGORY_NATURAL_KEY, DIM_PRODUCT_COLUMNS, DIM_SELLER_COLUMNS,
                             FACT_COLUMNS, FACT_MEASURES, SRC_FILE, SRC_ROW)
@@ -113,12 +114,15 @@ def load_dimension(spark: SparkSession, rows: DataFrame, mart: Mart, table: str,
     """Append the new rows of one dimension; return its profile and the current table."""
     existing = mart.read(table, schema=_dim_schema(rows, surrogate))
     new = new_dimension_rows(rows, existing, key, surrogate=surrogate, null_safe=null_safe)
-    write_parquet(new, lake_path)
+    # the lake write counts its rows as it goes (K5 without a second job)
+    counted, obs = observed(new, table)
+    write_parquet(counted, lake_path)
+    written = observation_profile(obs, table, len(new.columns))
     landed = spark.read.parquet(lake_path)
-    if not is_empty(landed):
+    if written["row_numbers"] > 0:  # P14: nothing new, nothing to append
         mart.append(landed, table)
     current = mart.read(table, schema=_dim_schema(rows, surrogate))
-    return {"table": current, "new": landed}
+    return {"table": current, "new": landed, "profile": written}
 
 
 def _dim_schema(rows: DataFrame, surrogate: str | None):
