@@ -81,7 +81,8 @@ def test_star_join_drops_unknown_and_does_not_fan_out(spark):
     out = star_join(facts, [Dim(dim, ["brand_name"], ["brand_id"], drop=["brand_name"])])
     assert sorted((r.product_id, r.brand_id) for r in out.collect()) == [(1, 100), (2, 200)]
     assert has_at_most(dim, 2) and not has_at_most(dim, 1)
-    assert broadcast_if_bounded(dim, 1) is dim
+    assert broadcast_if_bounded(dim, 1) is dim  # one row of 36 bytes does not fit 1 byte
+    assert broadcast_if_bounded(dim, 10_000) is not dim
 
 
 def test_profile(spark):
