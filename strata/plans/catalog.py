@@ -33,6 +33,8 @@ UNKNOWN_ORIGIN = silver.UNKNOWN_ORIGIN
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations"]
+# Products already in the mart for product_rejoin.
+KNOWN_PRODUCT_TYPES = ["ECONOMY", "PROMO"]
 # Load 1 takes the category files of finished lines, load 2 the open ones.
 LOAD1_FILES = ["data_af", "data_nf", "data_rf"]
 # -------------------------------------------------------------------------------
@@ -183,7 +185,7 @@ def _suppliers_holed(spark, d):
     s = table(spark, d, "supplier")
     k = F.col("s_suppkey")
     return s.select(F.when(k % 10 == 1, F.lit(None)).otherwise(k).alias("s_suppkey"),
-                    "s_name", "s_nationkey", (k % 3 == 0).alias("_known"))
+                    "s_name", "s_nationkey", (F.col("s_nationkey") < 10).alias("_known"))
 
 
 def new_keys_single(spark: SparkSession, d: str) -> DataFrame:
@@ -201,12 +203,12 @@ def _brand_type_size(spark, d):
 
 def new_keys_composite(spark: SparkSession, d: str) -> DataFrame:
     inc = _brand_type_size(spark, d)
-    return new_rows(inc, inc.where(F.col("p_size") % 4 == 0), ["p_brand", "p_type", "p_size"])
+    return new_rows(inc, inc.where(F.col("p_size") <= 20), ["p_brand", "p_type", "p_size"])
 
 
 def new_keys_null_unsafe(spark: SparkSession, d: str) -> DataFrame:
     inc = _brand_type_size(spark, d)
-    return new_rows(inc, inc.where(F.col("p_size") % 4 == 0), ["p_brand", "p_type", "p_size"],
+    return new_rows(inc, inc.where(F.col("p_size") <= 20), ["p_brand", "p_type", "p_size"],
                     null_safe=False)
 
 
@@ -221,7 +223,7 @@ def product_rejoin(spark: SparkSession, d: str) -> DataFrame:
          .otherwise(pk.cast("string")).alias("sku"),
         F.col("p_name").alias("name"), F.floor("l_extendedprice").cast("long").alias("price"),
         "l_orderkey", "l_suppkey")
-    existing = p.where(F.col("p_partkey") % 4 == 0).select(F.col("p_partkey").alias("product_id"))
+    existing = p.where(F.col("p_type").isin(KNOWN_PRODUCT_TYPES)).select(F.col("p_partkey").alias("product_id"))
     new = new_rows(inc, existing, ["product_id"])
     first = keep_first(new, ["product_id"], ["l_orderkey", "product_id", "l_suppkey"])
     return first.select("product_id", to_long("sku", strict=False).alias("sku"), "name", "price")
@@ -266,9 +268,10 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
         if only and name not in only:
             continue
         r1 = rows_of(load1)
-        first = gold.new_dimension_rows(r1, r1.limit(0) if surrogate is None else
-                                        r1.limit(0).withColumn(surrogate, F.lit(None).cast("long")),
-                                        key, surrogate=surrogate, start=0 if surrogate else None)
+        empty_mart = spark.createDataFrame([], r1.schema if surrogate is None else
+                                           r1.withColumn(surrogate, F.lit(None).cast("long")).schema)
+        first = gold.new_dimension_rows(r1, empty_mart, key, surrogate=surrogate,
+                                        start=0 if surrogate else None)
         second = gold.new_dimension_rows(rows_of(load2), first, key, surrogate=surrogate)
         # the dimension as the mart holds it after both loads
         out[name] = materialize(first.unionByName(second), name)

@@ -252,17 +252,17 @@ SQL: dict[str, str] = {
     "clean_text_conversations": f"""SELECT conv_id, turn,
         {clean_sql(decorate_sql('text', 'conv_id + turn'))} AS content FROM conversations""",
     "new_keys_single": """WITH inc AS (SELECT CASE WHEN s_suppkey % 10 = 1 THEN NULL ELSE s_suppkey END AS s_suppkey,
-        s_name, s_nationkey, s_suppkey % 3 = 0 AS known FROM supplier)
+        s_name, s_nationkey, s_nationkey < 10 AS known FROM supplier)
         SELECT s_suppkey, s_name, s_nationkey FROM inc n
         WHERE NOT EXISTS (SELECT 1 FROM inc e WHERE e.known AND e.s_suppkey IS NOT DISTINCT FROM n.s_suppkey)""",
     "new_keys_composite": """WITH inc AS (SELECT DISTINCT CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END
         AS p_brand, p_type, p_size FROM part)
-        SELECT * FROM inc n WHERE NOT EXISTS (SELECT 1 FROM inc e WHERE e.p_size % 4 = 0
+        SELECT * FROM inc n WHERE NOT EXISTS (SELECT 1 FROM inc e WHERE e.p_size <= 20
           AND e.p_brand IS NOT DISTINCT FROM n.p_brand AND e.p_type IS NOT DISTINCT FROM n.p_type
           AND e.p_size IS NOT DISTINCT FROM n.p_size)""",
     "new_keys_null_unsafe": """WITH inc AS (SELECT DISTINCT CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END
         AS p_brand, p_type, p_size FROM part)
-        SELECT * FROM inc n WHERE NOT EXISTS (SELECT 1 FROM inc e WHERE e.p_size % 4 = 0
+        SELECT * FROM inc n WHERE NOT EXISTS (SELECT 1 FROM inc e WHERE e.p_size <= 20
           AND e.p_brand = n.p_brand AND e.p_type = n.p_type AND e.p_size = n.p_size)""",
     "product_rejoin": f"""WITH inc AS (SELECT l_partkey AS product_id,
           CASE WHEN l_linenumber = 7 THEN concat(CAST(l_partkey AS VARCHAR), '.0')
@@ -270,7 +270,7 @@ SQL: dict[str, str] = {
                ELSE CAST(l_partkey AS VARCHAR) END AS sku,
           p_name AS name, CAST(floor(l_extendedprice) AS BIGINT) AS price, l_orderkey, l_suppkey
         FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 4 = 0))
+        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type IN ('ECONOMY', 'PROMO')))
         SELECT product_id, {lenient_long('sku')} AS sku, name, price FROM inc
         QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY l_orderkey, product_id, l_suppkey) = 1""",
     "surrogate_keys": """WITH ex AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) * 10 AS brand_id,
