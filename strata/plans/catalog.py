@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from strata.functions.columns import array_length, difference, flag, path_level, to_long
+from strata.functions.columns import array_length, difference, flag, to_long
 from strata.functions.text import clean_text
 from strata.operators.dedup import dedup_any, distinct, keep_first, union_all
 from strata.operators.keys import new_rows
