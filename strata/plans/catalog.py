@@ -240,11 +240,26 @@ def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---- T3-T9 on stand-in listings --------------------------------------------------
-def silver_all(spark: SparkSession, d: str) -> DataFrame:
+# Silver columns each dimension reads (besides provenance).
+DIM_INPUTS = {
+    "dim_seller": ["seller_id", "seller_type", "is_official_store", "is_trusted_store"],
+    "dim_category": list(CATEGORY_NATURAL_KEY),
+    "dim_brand": ["brand_name", "is_top_brand"],
+    "dim_product": ["id", "sku", "name", "url_key", "url_path", "availability", "is_imported",
+                    "is_authentic", "tiki_verified", "is_tikinow", "is_tikipro", "is_ad",
+                    "inventory_status", "is_visible", "origin", "freegift_items", "shippable"],
+}
+
+
+def silver_all(spark: SparkSession, d: str, columns: list[str] | None = None) -> DataFrame:
     """Silver products with provenance, materialized once (as the silver layer is
     written once in the jobs), so the dimension and fact steps read it back
-    instead of re-deriving the listings for every use."""
-    return materialize(silver.silver_products(listings(spark, d)), "silver")
+    instead of re-deriving the listings for every use. With ``columns`` only
+    those are kept, and the listing build is pruned to what they need."""
+    s = silver.silver_products(listings(spark, d))
+    if columns is not None:
+        s = s.select(*dict.fromkeys([*columns, SRC_FILE, SRC_ROW]))
+    return materialize(s, "silver")
 
 
 def _loads(spark, d, s=None):
@@ -256,6 +271,8 @@ def _loads(spark, d, s=None):
 def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
                   only: list[str] | None = None) -> dict[str, DataFrame]:
     """Dimensions after load 1 (empty mart) and load 2, without writing to a mart."""
+    if s is None and only:
+        s = silver_all(spark, d, [c for name in only for c in DIM_INPUTS[name]])
     load1, load2 = _loads(spark, d, s)
     out = {}
     specs = {
