@@ -20,6 +20,7 @@ from strata.operators.nested import flatten
 from strata.operators.nulls import fill, fill_numeric, require
 from strata.operators.profile import profile
 from strata.plans import gold, silver
+from strata.plans.medallion import run_concurrently
 from strata.plans.stand_in import decorate, landed_pages, listings, reviews, table
 from strata.schemas import CATEGORY_NATURAL_KEY, REVIEW, SRC_FILE, SRC_ROW
 from strata.session import materialize, scratch_path
@@ -274,16 +275,15 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
     if s is None and only:
         s = silver_all(spark, d, [c for name in only for c in DIM_INPUTS[name]])
     load1, load2 = _loads(spark, d, s)
-    out = {}
     specs = {
         "dim_seller": (gold.seller_rows, ["seller_id"], None),
         "dim_category": (gold.category_rows, CATEGORY_NATURAL_KEY, "category_id"),
         "dim_brand": (gold.brand_rows, ["brand_name"], "brand_id"),
         "dim_product": (gold.product_rows, ["product_id"], None),
     }
-    for name, (rows_of, key, surrogate) in specs.items():
-        if only and name not in only:
-            continue
+
+    def build(name):
+        rows_of, key, surrogate = specs[name]
         r1 = rows_of(load1)
         empty_mart = spark.createDataFrame([], r1.schema if surrogate is None else
                                            r1.withColumn(surrogate, F.lit(None).cast("long")).schema)
@@ -291,8 +291,9 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
                                         start=0 if surrogate else None)
         second = gold.new_dimension_rows(rows_of(load2), first, key, surrogate=surrogate)
         # the dimension as the mart holds it after both loads
-        out[name] = materialize(first.unionByName(second), name)
-    return out
+        return materialize(first.unionByName(second), name)
+
+    return run_concurrently(build, [n for n in specs if not only or n in only])
 
 
 def dim_seller(spark, d):
