@@ -275,15 +275,8 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
     if s is None and only:
         s = silver_all(spark, d, [c for name in only for c in DIM_INPUTS[name]])
     load1, load2 = _loads(spark, d, s)
-    specs = {
-        "dim_seller": (gold.seller_rows, ["seller_id"], None),
-        "dim_category": (gold.category_rows, CATEGORY_NATURAL_KEY, "category_id"),
-        "dim_brand": (gold.brand_rows, ["brand_name"], "brand_id"),
-        "dim_product": (gold.product_rows, ["product_id"], None),
-    }
-
     def build(name):
-        rows_of, key, surrogate = specs[name]
+        rows_of, key, surrogate = gold.DIMENSIONS[name]
         r1 = rows_of(load1)
         empty_mart = spark.createDataFrame([], r1.schema if surrogate is None else
                                            r1.withColumn(surrogate, F.lit(None).cast("long")).schema)
@@ -293,7 +286,7 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
         # the dimension as the mart holds it after both loads
         return materialize(first.unionByName(second), name)
 
-    return run_concurrently(build, [n for n in specs if not only or n in only])
+    return run_concurrently(build, [n for n in gold.DIMENSIONS if not only or n in only])
 
 
 def dim_seller(spark, d):
@@ -322,7 +315,7 @@ def fact_star_join(spark: SparkSession, d: str) -> DataFrame:
 def dim_seller_full_row(spark: SparkSession, d: str) -> DataFrame:
     """Reference rule (strict=False): full-row distinct, so a seller seen with two
     seller types keeps two rows."""
-    return gold.seller_rows(silver_all(spark, d), strict=False)
+    return gold.seller_rows(silver_all(spark, d, DIM_INPUTS["dim_seller"]), strict=False)
 
 
 def silver_products_q(spark: SparkSession, d: str) -> DataFrame:

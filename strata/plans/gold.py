@@ -73,6 +73,15 @@ def product_rows(silver: DataFrame, strict: bool = True) -> DataFrame:
     return src.select(*DIM_PRODUCT_COLUMNS).dropDuplicates(["product_id"])
 
 
+# Each dimension: rows from silver, natural key, surrogate key (None: the natural key is kept).
+DIMENSIONS = {
+    "dim_seller": (seller_rows, ["seller_id"], None),
+    "dim_category": (category_rows, CATEGORY_NATURAL_KEY, "category_id"),
+    "dim_brand": (brand_rows, ["brand_name"], "brand_id"),
+    "dim_product": (product_rows, ["product_id"], None),
+}
+
+
 def new_dimension_rows(rows: DataFrame, existing: DataFrame, key: list[str],
                        surrogate: str | None = None, null_safe: bool = True,
                        start: int | None = None) -> DataFrame:
