@@ -89,3 +89,32 @@ def test_profile(spark):
     df = spark.createDataFrame([(1, 2), (3, 4)], "a int, b int")
     r = profile(df, "t").first()
     assert (r.table_name, r.row_numbers, r.column_numbers) == ("t", 2, 2)
+
+
+def test_star_join_hot_key_without_broadcast(spark):
+    """A third of the facts on one seller, dimensions too 'large' to broadcast:
+    the shuffle path (AQE may split the hot partition) gives the same rows."""
+    facts = spark.range(0, 30000, numPartitions=12).select(
+        F.col("id").alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 100).cast("long").alias("seller_id"),
+        (F.col("id") % 11).cast("string").alias("brand_name"))
+    sellers = spark.range(0, 100).select(F.col("id").alias("seller_id"))
+    brands = spark.range(0, 11).select(F.col("id").cast("string").alias("brand_name"),
+                                       (F.col("id") + 1000).alias("brand_id"))
+    dims = [Dim(sellers, ["seller_id"], []), Dim(brands, ["brand_name"], ["brand_id"], drop=["brand_name"])]
+    shuffled = star_join(facts, dims, max_broadcast_bytes=1)
+    broadcast = star_join(facts, dims)
+    assert shuffled.count() == 30000
+    assert shuffled.exceptAll(broadcast).count() == 0
+    # id % 3 == 0 (10000 rows), plus the 200 ids with id % 100 == 7 that are not multiples of 3
+    assert shuffled.where("seller_id = 7").count() == 10000 + 200
+
+
+def test_strict_cast_fails_on_malformed_text(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from strata.functions.columns import to_long
+    df = spark.createDataFrame([("12",), ("x1",)], "s string")
+    with pytest.raises(Exception) as e:
+        df.select(to_long("s", strict=True)).collect()
+    assert isinstance(e.value, (PySparkException, Exception)) and "CAST_INVALID_INPUT" in str(e.value)
