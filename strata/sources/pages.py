@@ -21,10 +21,13 @@ def landed_rows(pages: DataFrame, item_schema: StructType, ok_status: int = 200)
     Output: category, page, item_pos (position on the page), then the item fields.
     """
     body = StructType([StructField("data", ArrayType(item_schema))])
-    parsed = pages.select("category", "page", "status",
+    # the cut only needs the length of ``data`` (as the crawler's len(data) == 0):
+    # counted on the JSON text, without converting the items to structs
+    empty = F.coalesce(F.json_array_length(F.get_json_object("body", "$.data")), F.lit(0)) == 0
+    bad = (F.col("status") != F.lit(ok_status)) | empty
+    stops = pages.groupBy("category").agg(F.min(F.when(bad, F.col("page"))).alias("_stop"))
+    parsed = pages.select("category", "page",
                           F.from_json("body", body).getField("data").alias("data"))
-    bad = (F.col("status") != F.lit(ok_status)) | (F.coalesce(F.size("data"), F.lit(0)) == 0)
-    stops = parsed.groupBy("category").agg(F.min(F.when(bad, F.col("page"))).alias("_stop"))
     kept = (parsed.join(stops, "category")
                   .where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop"))))
     return (kept.select("category", "page", F.posexplode("data").alias("item_pos", "item"))
