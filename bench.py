@@ -25,7 +25,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from strata.plans import catalog
-    from strata.session import build_session
+    from strata.session import build_session, drop_scratch
     spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=int(cpus) * 2,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")
@@ -40,6 +40,7 @@ def main() -> None:
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -94,3 +94,17 @@ def materialize(df, name: str):
     df.write.parquet(path)
     return spark.read.parquet(path)
 
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables (``materialize`` and round trips).
+
+    Call it when the session's results have been consumed (end of a job run, a
+    bench, a test session); frames returned earlier may read from these tables.
+    """
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/scratch")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+

@@ -13,6 +13,8 @@ def spark():
     s = build_session("local[*]", app="strata-tests", shuffle_partitions=8,
                       extra={"spark.driver.memory": "4g"})
     yield s
+    from strata.session import drop_scratch
+    drop_scratch(s)
     s.stop()
 
 
