@@ -23,7 +23,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a wide
     # listing projection crosses that and ran interpreted (3-4x slower, measured).
