@@ -297,7 +297,7 @@ SQL: dict[str, str] = {
     "page_landing": f"""WITH p AS (SELECT event_type AS category, {_PAGE} AS page, event_id, user_id, value FROM events),
         pages AS (SELECT DISTINCT category, page FROM p),
         stops AS (SELECT category, min(page) AS stop FROM pages
-                  WHERE (page * 7 + length(category)) % 23 = 0 OR page % 31 = 5 GROUP BY category)
+                  WHERE (page * 7 + length(category)) % 101 = 0 OR page % 97 = 40 GROUP BY category)
         SELECT p.category, p.page, event_id, user_id, value FROM p LEFT JOIN stops s ON p.category = s.category
         WHERE s.stop IS NULL OR p.page < s.stop""",
     "parquet_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",

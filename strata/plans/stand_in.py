@@ -166,8 +166,8 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = (e.select(F.col("event_type").alias("category"), page.alias("page"),
                         F.struct("event_id", "user_id", "value").alias("item"))
                 .groupBy("category", "page").agg(F.collect_list("item").alias("data")))
-    status = F.when((F.col("page") * 7 + F.length("category")) % 23 == 0, F.lit(500)).otherwise(F.lit(200))
-    data = F.when(F.col("page") % 31 == 5, F.array().cast(grouped.schema["data"].dataType)).otherwise(
+    status = F.when((F.col("page") * 7 + F.length("category")) % 101 == 0, F.lit(500)).otherwise(F.lit(200))
+    data = F.when(F.col("page") % 97 == 40, F.array().cast(grouped.schema["data"].dataType)).otherwise(
         F.col("data"))
     return grouped.select("category", "page", status.alias("status"),
                           F.to_json(F.struct(data.alias("data"))).alias("body"))
