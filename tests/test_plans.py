@@ -79,3 +79,20 @@ def test_partitioned_landing_keeps_file_order(spark, workdir):
     rl = sv.silver_reviews(read_reviews(spark, review_dir, REVIEW))
     rd = catalog.silver_reviews_q(spark, d)
     assert rl.exceptAll(rd).count() == 0 and rd.exceptAll(rl).count() == 0
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.sampled_from(["a", "b", None]),
+                          st.integers(0, 99)), min_size=1, max_size=120),
+       st.integers(1, 7))
+def test_keep_first_property(spark, rows, parts):
+    """keep_first == plain Python 'smallest ordinal per key' for any partitioning."""
+    from strata.operators.dedup import keep_first
+    data = [(k, j, i * 1000 + v, f"r{i}") for i, (k, j, v) in enumerate(rows)]  # unique ordinals
+    df = spark.createDataFrame(data, "k int, j string, o long, v string").repartition(parts)
+    got = sorted((r.v for r in keep_first(df, ["k", "j"], ["o"]).collect()))
+    best = {}
+    for k, j, o, v in data:
+        if (k, j) not in best or o < best[(k, j)][0]:
+            best[(k, j)] = (o, v)
+    assert got == sorted(v for _, v in best.values())
