@@ -96,3 +96,21 @@ def test_keep_first_property(spark, rows, parts):
         if (k, j) not in best or o < best[(k, j)][0]:
             best[(k, j)] = (o, v)
     assert got == sorted(v for _, v in best.values())
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from(["x", None])),
+                max_size=40),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from(["x", None])),
+                max_size=20))
+def test_new_rows_property(spark, incoming, existing):
+    """null-safe: a key is new unless an equal key (null == null) exists;
+    reference rule: any key with a null part is always new."""
+    from strata.operators.keys import new_rows
+    inc = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(incoming)], "a int, b string, i int")
+    ex = spark.createDataFrame(existing, "a int, b string")
+    ex_set = set(existing)
+    got_safe = sorted(r.i for r in new_rows(inc, ex, ["a", "b"]).collect())
+    got_ref = sorted(r.i for r in new_rows(inc, ex, ["a", "b"], null_safe=False).collect())
+    assert got_safe == [i for i, key in enumerate(incoming) if key not in ex_set]
+    assert got_ref == [i for i, key in enumerate(incoming) if None in key or key not in ex_set]
