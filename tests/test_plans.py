@@ -114,3 +114,14 @@ def test_new_rows_property(spark, incoming, existing):
     got_ref = sorted(r.i for r in new_rows(inc, ex, ["a", "b"], null_safe=False).collect())
     assert got_safe == [i for i, key in enumerate(incoming) if key not in ex_set]
     assert got_ref == [i for i, key in enumerate(incoming) if None in key or key not in ex_set]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.text(alphabet="abcxyz", min_size=1, max_size=6), min_size=1, max_size=80, unique=True),
+       st.integers(1, 9), st.integers(0, 1000))
+def test_assign_keys_property(spark, names, parts, start):
+    """Keys are start+1.. in natural-key order, whatever the input partitioning."""
+    from strata.operators.keys import assign_keys
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(parts)
+    got = {r.name: r.sk for r in assign_keys(df, "sk", ["name"], start=start).collect()}
+    assert got == {n: start + i + 1 for i, n in enumerate(sorted(names))}
