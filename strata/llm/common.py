@@ -34,7 +34,7 @@ def two_columns(df: DataFrame, id_col: str, text_col: str, *more: Column) -> Dat
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)
 
 
-def slices(batches, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches, column: str = "text", most: int = SLICE_BYTES, most_rows: int = 1 << 14) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of rows whose ``column`` holds about ``most`` bytes; a longer text stays whole."""
     for batch in batches:
         if not batch.num_rows:
@@ -43,7 +43,7 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES) -> Iterator[p
         at = 0
         while at < len(size):
             done = size[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(size, done + most, side="right")))
+            to = min(at + most_rows, max(at + 1, int(np.searchsorted(size, done + most, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 

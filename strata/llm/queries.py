@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, ss_packing, superkmer, tree_dedup
-from strata.llm.common import documents
+from strata.llm import bpe, ppm, probminhash, ss_packing, superkmer, tree_dedup
+from strata.llm.common import documents, remainder
 
 
 def vocabulary(name: str) -> str:
@@ -17,6 +17,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir), remainder("doc_id", 7) == 2)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
@@ -25,11 +29,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ss_packing.pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(documents(spark, sf_dir), words=5, threshold=0.8)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir), width=13).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op7_exact_dedup, op8_packing, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op5_ppm, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
 
 SQL = {
     "op7_exact_dedup": """
