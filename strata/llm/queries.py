@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, ppm, probminhash, ss_packing, superkmer, tree_dedup
+from strata.llm import bpe, crf_langid, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
 from strata.llm.common import documents, remainder
 
 
@@ -13,10 +13,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), remainder("doc_id", 5) == 0)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_langid.predict_language(documents(spark, sf_dir), remainder("doc_id", 4) == 2)
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(documents(spark, sf_dir), remainder("doc_id", 7) == 2)
 
@@ -37,7 +45,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir), width=13).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op5_ppm, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_language, op5_ppm, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
 
 SQL = {
     "op7_exact_dedup": """
