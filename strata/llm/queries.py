@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import bpe, crf_langid, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
+from strata.llm import bpe, crf_langid, importance, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
 from strata.llm.common import documents, remainder
 
 
@@ -29,6 +30,17 @@ def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(documents(spark, sf_dir), remainder("doc_id", 7) == 2)
 
 
+def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: texts labelled good (quality 1) outside the held-out fifth; as large a share of all rows is kept as is good among the labelled."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    learned = labels.filter(remainder("doc_id", 5) != 0)
+    fraction = learned.agg(F.coalesce(F.avg("quality"), F.lit(1.0))).first()[0]
+    docs = documents(spark, sf_dir)
+    target = docs.filter(remainder("doc_id", 5) != 0).join(learned.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    out = importance.resample(docs, target, fraction, "doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
+    return out.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), F.col("log_weight")))))).withColumn("kept", F.col("selected"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
 
@@ -45,7 +57,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir), width=13).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_language, op5_ppm, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
 
 SQL = {
     "op7_exact_dedup": """
