@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, crf_langid, importance, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
+from strata.llm import bpe, crf_langid, importance, nn_descent, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
 from strata.llm.common import documents, remainder
 
 
@@ -18,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), remainder("doc_id", 5) == 0)
 
 
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -42,7 +46,7 @@ def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tree_dedup.exact_duplicates(documents(spark, sf_dir), largest=True)
+    return tree_dedup.exact_duplicates(documents(spark, sf_dir), largest=True).drop("text_key")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,14 +54,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return probminhash.near_duplicates(documents(spark, sf_dir), words=5, threshold=0.8)
+    return probminhash.near_duplicates(documents(spark, sf_dir), words=5, threshold=0.8).drop("text_key")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir), width=13).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_nn_descent, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
 
 SQL = {
     "op7_exact_dedup": """
