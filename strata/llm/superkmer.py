@@ -8,7 +8,8 @@ and equal neighbours (compared word by word) are one window with its smallest id
 
 Before the shuffle equal packed strings of a slice collapse to their smallest id:
 the others' windows are known to repeat at once and travel as plain spans, spread by
-document. So a passage in a third of all documents sends one row a slice to its bucket.
+document. So a passage in a third of all documents sends one string a slice to its bucket.
+Strings of a slice for one bucket travel as one compressed block.
 
 Defined results: a null text has no words; a null id counts as larger than any other;
 rows with equal ids never remove each other's words; texts with fewer than ``width``
@@ -28,11 +29,33 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import grams, hashes, row_of, slices, two_columns, whole_groups, word_table
 
-SPANS = "id long, text_key long, starts array<int>, counts array<int>"
+SPAN = "id long, text_key int, start int, count int"
+NAMES = ["id", "text_key", "start", "count"]
+#: Buckets for each shuffle partition.
+SPREAD = 8
 
 
-def lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
+def pack_block(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, strings: list[bytes]) -> bytes:
+    raw = b"".join([np.diff(ids, prepend=0).tobytes(), keys.astype(np.int32).tobytes(), starts.astype(np.int32).tobytes(), b"\n".join(strings)])
+    return np.array([len(ids), len(raw)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    n, size = np.frombuffer(block[:16], np.int64).tolist()
+    raw = pa.decompress(block[16:], decompressed_size=size, codec="zstd", asbytes=True)
+    return (np.cumsum(np.frombuffer(raw[:8 * n], np.int64)), np.frombuffer(raw[8 * n:12 * n], np.int32),
+            np.frombuffer(raw[12 * n:16 * n], np.int32), raw[16 * n:].decode().split("\n"))
+
+
+def runs(doc: np.ndarray, at: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Where a new run begins: another document, or ``at`` isn't where the row before ended (``after``)."""
+    return np.flatnonzero(np.concatenate([[True], (at[1:] != after[:-1]) | (doc[1:] != doc[:-1])]))
+
+
+def span_batch(ids, keys, starts, counts) -> pa.RecordBatch:
+    """Spans, spread over the partitions by document."""
+    columns = [pa.array(ids), pa.array(keys, pa.int32()), pa.array(starts.astype(np.int32)), pa.array(counts.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), pa.binary()), *columns], ["bucket", "block", *NAMES])
 
 
 def super_kmers(batch: pa.RecordBatch, width: int, m: int):
@@ -58,8 +81,8 @@ def super_kmers(batch: pa.RecordBatch, width: int, m: int):
     return pa.array(packed, pa.binary()), grams(h, m)[place[head]].view(np.int64), doc[head], first - bounds[doc[head]], count
 
 
-def emit(batch: pa.RecordBatch, width: int, m: int):
-    """Rows for the buckets, and spans of windows that a smaller id in this slice has too."""
+def emit(batch: pa.RecordBatch, width: int, m: int, buckets: int):
+    """Blocks for the buckets, and spans of windows that a smaller id in this slice has too."""
     found = super_kmers(batch, width, m)
     if found is None:
         return
@@ -68,24 +91,24 @@ def emit(batch: pa.RecordBatch, width: int, m: int):
     code = packed.dictionary_encode().indices.to_numpy()
     least = np.full(code.max() + 1, np.iinfo(np.int64).max)
     np.minimum.at(least, code, ids)
-    late = ids > least[code]
-    names = ["bucket", "packed", "id", "text_key", "starts", "counts"]
-    if late.any():
-        d, f, c = doc[late], first[late], count[late]
-        head = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-        bounds = np.concatenate([head, [len(d)]])
-        yield pa.RecordBatch.from_arrays([pa.array(keys[late][head]), pa.nulls(len(head), pa.binary()), pa.array(ids[late][head]), pa.array(keys[late][head]), lists(f, bounds), lists(c, bounds)], names)
-    rest = np.flatnonzero(~late)
-    rest = rest[np.lexsort((keys[rest], code[rest]))]
-    c, k = code[rest], keys[rest]
-    head = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (k[1:] != k[:-1])]))
-    bounds, one = np.concatenate([head, [len(rest)]]), rest[head]
-    yield pa.RecordBatch.from_arrays([pa.array(bucket[one]), packed.take(pa.array(one)), pa.array(ids[one]), pa.array(keys[one]), lists(first[rest], bounds), lists(count[one], np.arange(len(one) + 1))], names)
-
-
-def window_least(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    late = np.flatnonzero(ids > least[code])
+    if len(late):
+        head = runs(doc[late], first[late], (first + count)[late])
+        yield span_batch(ids[late][head], keys[late][head], first[late][head], np.add.reduceat(count[late], head))
+    rest = np.flatnonzero(ids == least[code])
+    bucket = (bucket.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    rest = rest[np.argsort(bucket[rest], kind="stable")]
+    own = bucket[rest]
+    edge = np.concatenate([np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])), [len(rest)]])
+    strings = packed.take(pa.array(rest)).to_pylist()
+    blocks = [pack_block(ids[rest[s:e]], keys[rest[s:e]], first[rest[s:e]], strings[s:e]) for s, e in zip(edge[:-1], edge[1:], strict=True)]
+    none = [pa.nulls(len(blocks), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32())]
+    yield pa.RecordBatch.from_arrays([pa.array(own[edge[:-1]]), pa.array(blocks, pa.binary()), *none], ["bucket", "block", *NAMES])
+
+
+def window_least(strings: pa.Array, ids: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window of the packed strings: row, number in its row, and the smallest id of an equal window."""
-    words, at, bounds = word_table(table.column("packed").combine_chunks().cast(pa.string()))
+    words, at, bounds = word_table(strings)
     h = grams(hashes(words)[at], width)
     doc = row_of(bounds)[:len(h)]
     start = np.flatnonzero(np.arange(len(h)) + width <= bounds[doc + 1])
@@ -95,95 +118,87 @@ def window_least(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, n
     same = same_hash.copy()
     for i in range(width):
         same &= at[a + i] == at[b + i]
-    ids = table.column("id").to_numpy()[doc]
     if (same != same_hash).any():  # different windows with one hash: number the windows themselves
         group = np.unique(sliding_window_view(at, width)[start], axis=0, return_inverse=True)[1].reshape(-1)
     else:
         group = np.empty(len(start), np.int64)
         group[order] = np.cumsum(np.concatenate([[True], ~same])) - 1
     least = np.full(group.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, group, ids)
+    np.minimum.at(least, group, ids[doc])
     return doc, start - bounds[doc], least[group]
 
 
 def count_bucket(table: pa.Table, width: int):
     """Spans of the repeated windows of whole buckets."""
-    names = ["id", "text_key", "starts", "counts"]
-    plain = pc.is_null(table.column("packed"))
+    plain = pc.is_null(table.column("block"))
     if pc.any(plain).as_py():
-        yield from table.filter(plain).select(names).to_batches()
-        table = table.filter(pc.invert(plain))
-    if not table.num_rows:
-        return
-    doc, number, least = window_least(table, width)
-    hit = least < table.column("id").to_numpy()[doc]
-    if not hit.any():
-        return
-    doc, number = doc[hit], number[hit]
-    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (number[1:] != number[:-1] + 1)]))
-    length = np.diff(np.concatenate([head, [len(doc)]]))
-    # a run of windows lies at each place where its packed string starts
-    starts = table.column("starts").combine_chunks()
-    places, edge = starts.flatten().to_numpy(), starts.offsets.to_numpy()
-    edge = edge - edge[0]
-    run_doc, run_at = doc[head], number[head]
-    times = np.diff(edge)[run_doc]
-    back = np.repeat(np.arange(len(run_doc)), times)
-    nth = np.arange(len(back)) - np.repeat(np.cumsum(times) - times, times)
-    begin = places[edge[run_doc[back]] + nth] + run_at[back]
-    per_row = np.arange(len(back) + 1)
-    take = pa.array(run_doc[back])
-    yield pa.RecordBatch.from_arrays([table.column("id").combine_chunks().take(take), table.column("text_key").combine_chunks().take(take), lists(begin, per_row), lists(length[back], per_row)], names)
+        yield from table.filter(plain).select(NAMES).to_batches()
+    bucket, blocks = table.column("bucket").to_numpy(), table.column("block").to_pylist()
+    for one in np.unique(bucket):
+        mine = [unpack_block(blocks[i]) for i in np.flatnonzero(bucket == one) if blocks[i] is not None]
+        if not mine:
+            continue
+        ids, keys, starts = (np.concatenate([x[i] for x in mine]) for i in range(3))
+        doc, number, least = window_least(pa.array([x for m in mine for x in m[3]]), ids, width)
+        hit = least < ids[doc]
+        if hit.any():
+            doc, at = doc[hit], (number + starts[doc])[hit]
+            head = runs(doc, at, at + 1)
+            yield span_batch(ids[doc[head]], keys[doc[head]], at[head], np.diff(np.concatenate([head, [len(doc)]]))).select(NAMES)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     src = two_columns(docs, id_col, text_col, *more)
-    return src.withColumn("key", F.coalesce(F.col("id").cast("long"), F.lit(2 ** 63 - 1))).withColumn("text_key", F.xxhash64("text"))
+    return src.withColumn("key", F.coalesce(F.col("id").cast("long"), F.lit(2 ** 63 - 1))).withColumn("text_key", F.hash("text"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, m: int = 3) -> DataFrame:
-    """(id, text_key, starts, counts): windows starts[i] .. starts[i] + counts[i] - 1 of that text also start in a document with a smaller id."""
+    """(id, text_key, start, count): windows start .. start + count - 1 of that text also start in a document with a smaller id."""
     def deal(batches):
         for b in slices(batches):
-            yield from emit(b, width, m)
+            yield from emit(b, width, m, buckets)
 
     def count(batches):
         for t in whole_groups(batches, "bucket"):
             yield from count_bucket(t, width)
 
+    buckets = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = keyed(docs, id_col, text_col).select(F.col("key").alias("id"), "text_key", "text")
-    rows = src.mapInArrow(deal, "bucket long, packed binary, " + SPANS)
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, SPANS)
+    rows = src.mapInArrow(deal, "bucket long, block binary, " + SPAN)
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, SPAN)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, m: int = 3) -> DataFrame:
-    """One row per document: id, n_words, n_removed, kept_sha256, and kept: the text that is left
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 13, m: int = 3,
+                   carry: list[str] | None = None) -> DataFrame:
+    """One row per document: id (or the columns to ``carry``), n_words, n_removed, kept_sha256, and kept: the text that is left
     (kept words joined by single spaces; the text as it was, or null, where nothing is removed)."""
+    carry = [id_col] if carry is None else carry
     spans = repeated_spans(docs, id_col, text_col, width, m)
     per_doc = spans.groupBy(F.col("id").alias("key"), "text_key").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("counts")).alias("counts"))
-    src = keyed(docs, id_col, text_col, F.col(text_col).alias("given"))
-    joined = src.select("id", "given", "key", "text_key").join(per_doc, ["key", "text_key"], "left").select("id", "given", "starts", "counts")
+        F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts"))
+    names = [f"c{i}" for i in range(len(carry))]
+    src = keyed(docs, id_col, text_col, F.col(text_col).alias("given"), *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)))
+    joined = src.select("given", "key", "text_key", *names).join(per_doc, ["key", "text_key"], "left").select("given", "starts", "counts", *names)
 
     def run(batches):
         for b in slices(batches, "given"):
-            texts = pc.fill_null(b.column("given"), "")
-            words, at, bounds = word_table(texts)
+            words, at, bounds = word_table(pc.fill_null(b.column("given"), ""))
             flat = words.take(pa.array(at))
             removed = np.zeros(len(at), bool)
-            spans = list(zip(b.column("starts"), b.column("counts"), strict=True))
-            for i, (s, c) in enumerate(spans):
+            for i, (s, c) in enumerate(zip(b.column("starts"), b.column("counts"), strict=True)):
                 if s.is_valid:
-                    one = np.zeros(bounds[i + 1] - bounds[i] + 1, np.int64)
+                    step = np.zeros(bounds[i + 1] - bounds[i] + 1, np.int64)
                     s, c = s.values.to_numpy(), c.values.to_numpy()
-                    np.add.at(one, s, 1)
-                    np.add.at(one, s + c + width - 1, -1)
-                    removed[bounds[i]:bounds[i + 1]] = np.cumsum(one[:-1]) > 0
+                    np.add.at(step, s, 1)
+                    np.add.at(step, s + c + width - 1, -1)
+                    removed[bounds[i]:bounds[i + 1]] = np.cumsum(step[:-1]) > 0
             left = np.concatenate([[0], np.cumsum(~removed)])[bounds]
             text = pc.binary_join(pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), flat.filter(pa.array(~removed))), " ")
             n, k = np.diff(bounds), np.diff(left)
             sha = [hashlib.sha256(x.as_buffer()).hexdigest() for x in text]
             kept = pc.if_else(pa.array(n == k), b.column("given"), text)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n), pa.array(n - k), pa.array(sha), kept], ["id", "n_words", "n_removed", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(n), pa.array(n - k), pa.array(sha), kept], [*names, "n_words", "n_removed", "kept_sha256", "kept"])
 
-    return joined.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string, kept string").withColumnRenamed("id", id_col)
+    kinds = "".join(f"{c} {src.schema[c].dataType.simpleString()}, " for c in names)
+    out = joined.mapInArrow(run, kinds + "n_words long, n_removed long, kept_sha256 string, kept string")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)), "n_words", "n_removed", "kept_sha256", "kept")
