@@ -62,7 +62,8 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
         return np.zeros(CELLS)
     p, q = raw / max(raw.sum(), 1), target.sum()
     # the target's counts are backed by one pseudo-count a cell, spread as the raw text is
-    return np.where(raw > 0, np.log((target + CELLS * p) / (q + CELLS) / np.where(raw > 0, p, 1)), 0.0)
+    share = np.where(raw > 0, p, 1)
+    return np.where(raw > 0, np.log((target + CELLS * share) / (q + CELLS) / share), 0.0)
 
 
 def kth_largest(keys: DataFrame, k: int) -> tuple[float, int]:

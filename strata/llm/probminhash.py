@@ -178,7 +178,7 @@ def unlinked(members: DataFrame, component: DataFrame, m: int, threshold: float)
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     threshold: float = 0.8, m: int = COMPONENTS, band: int = BAND) -> DataFrame:
-    """One row per document: id, class_id (smallest id of its class), class_size, kept (one row of each class)."""
+    """One row per document: id, class_id (smallest id of its class), class_size, kept (one row of each class), text_key (xxhash64)."""
     rows = signature_rows(docs, id_col, text_col, words, m)
     copies = rows.filter("size > 0").groupBy("sha").agg(
         F.min(F.struct("key", "row", "text_key")).alias("least"), F.any_value("sig").alias("sig"))
@@ -194,4 +194,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tagged = rows.join(of_copy, "sha", "left").withColumn("component", F.coalesce("component", "row"))
     classes = tagged.groupBy("component").agg(F.min(F.struct("key", "row", "id")).alias("least"), F.count("*").alias("class_size"))
     return tagged.join(classes, "component").select(
-        F.col("id").alias(id_col), F.col("least.id").alias("class_id"), "class_size", (F.col("row") == F.col("least.row")).alias("kept"))
+        F.col("id").alias(id_col), F.col("least.id").alias("class_id"), "class_size", (F.col("row") == F.col("least.row")).alias("kept"), "text_key")

@@ -239,15 +239,15 @@ def learn(sample: DataFrame, model: np.ndarray) -> tuple[dict[str, float], np.nd
     seen = sample.select("text", "toxic").mapInArrow(texts_with, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0"), F.sum("n1")).collect()
     odds = {f: math.log((min(b, places[f]) + 0.5) / (n1 + 1)) - math.log((a + 0.5) / (n0 + 1)) for f, a, b in seen}
     weights = {f: w for f, w in odds.items() if w > 0.5}
-    found = with_evidence(sample.select("toxic", "text"), model, weights, "toxic int").toArrow()
+    found = with_evidence(sample.select("toxic", "text"), model, weights, {"toxic": "int"}).toArrow()
     x = np.column_stack([found.column("strongest").to_numpy(), found.column("many").to_numpy()])
     return weights, logistic(x, found.column("toxic").to_numpy().astype(np.float64)), n1 / (n1 + n0)
 
 
-def with_evidence(texts: DataFrame, model: np.ndarray, weights: dict[str, float], kept: str) -> DataFrame:
-    """The ``kept`` columns of ``texts`` with strongest and many."""
+def with_evidence(texts: DataFrame, model: np.ndarray, weights: dict[str, float], kept: dict[str, str]) -> DataFrame:
+    """The ``kept`` columns of ``texts`` (name and type) with strongest and many."""
     shared = texts.sparkSession.sparkContext.broadcast((model, weights))
-    names = [k.split()[0] for k in kept.split(", ")]
+    names = list(kept)
 
     def run(batches):
         model, weights = shared.value
@@ -255,7 +255,7 @@ def with_evidence(texts: DataFrame, model: np.ndarray, weights: dict[str, float]
         for b in slices(batches):
             e = evidence(model, weights, b.column("text"), reader)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(e[:, 0]), pa.array(e[:, 1])], [*names, "strongest", "many"])
-    return texts.mapInArrow(run, kept + ", strongest double, many double")
+    return texts.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kept.items()) + ", strongest double, many double")
 
 
 def restored_text(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,9 +273,11 @@ def restored_text(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", te
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
-    """One row per document: id, held_out, score, predicted; labels are learned where not ``held_out``."""
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), held_out.alias("held_out"))
+          label_col: str = "toxic", fit_rows: int = FIT_ROWS, carry: list[str] | None = None) -> DataFrame:
+    """One row per document: id (or the columns to ``carry``), held_out, score, predicted; labels are learned where not ``held_out``."""
+    carry = [id_col] if carry is None else carry
+    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), held_out.alias("held_out"),
+                      *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
     train = src.filter("not held_out")
     model = log_model(trigram_counts(train))
     chosen = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1) and id is not null")
@@ -283,7 +285,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
     marked = chosen.withColumn(id_col, F.col("id")).filter(~held_out).select("id", "toxic").orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     sample = materialize(train.select("id", "text").join(F.broadcast(marked), "id").select("text", "toxic"), "labelled")
     weights, beta, share = learn(sample, model)
-    kind = src.schema["id"].dataType.simpleString()
-    found = with_evidence(src, model, weights, f"id {kind}, held_out boolean")
+    names = ["held_out", *(f"c{i}" for i in range(len(carry)))]
+    found = with_evidence(src.select("text", *names), model, weights, {c: src.schema[c].dataType.simpleString() for c in names})
     z = F.lit(share) if beta is None else 1 / (1 + F.exp(-(beta[0] + beta[1] * F.col("strongest") + beta[2] * F.col("many"))))
-    return found.select(F.col("id").alias(id_col), "held_out", z.alias("score"), (z >= 0.5).cast("int").alias("predicted"))
+    return found.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "held_out", z.alias("score"), (z >= 0.5).cast("int").alias("predicted"))

@@ -49,9 +49,9 @@ def merge_runs(rows: DataFrame, largest: bool, fan_in: int = 8) -> DataFrame:
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      largest: bool = False, fan_in: int = 8) -> DataFrame:
-    """One row per document: id, keep_id, group_size, kept, text_sha256. ``largest``: the largest id stays, else the smallest."""
+    """One row per document: id, keep_id, group_size, kept, text_sha256, text_key (xxhash64). ``largest``: the largest id stays, else the smallest."""
     rows = digest_rows(docs, id_col, text_col)
     classes = merge_runs(rows, largest, fan_in)
     return rows.join(classes, IDENTITY).select(
         F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"),
-        (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+        (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), F.col("check").alias("text_key"))
