@@ -8,11 +8,11 @@ count per written file).
 from strata.functions.columns import array_length, first_of, flag, path_level, to_long
 from strata.functions.text import clean_text
 from strata.operators.dedup import dedup_any, distinct, keep_first, union_all
-from strata.operators.keys import assign_keys, hash_key, new_rows
+from strata.operators.keys import assign_keys, new_rows
 from strata.operators.nested import flatten
-from strata.operators.nulls import fill, fill_numeric, is_empty, require
+from strata.operators.nulls import fill, fill_numeric, require
 from strata.operators.profile import observed, profile
-from strata.operators.star import Dim, broadcast_if_bounded, star_join
+from strata.operators.star import Dim, star_join
 from strata.plans.gold import (brand_rows, category_rows, fact_rows, load_dimension,
                                new_dimension_rows, product_rows, seller_rows)
 from strata.plans.medallion import Lake, load_gold, run
@@ -24,9 +24,9 @@ from strata.sources.pages import landed_rows
 
 __all__ = [
     "array_length", "first_of", "flag", "path_level", "to_long", "clean_text",
-    "dedup_any", "distinct", "keep_first", "union_all", "assign_keys", "hash_key", "new_rows",
-    "flatten", "fill", "fill_numeric", "is_empty", "require", "observed", "profile",
-    "Dim", "broadcast_if_bounded", "star_join",
+    "dedup_any", "distinct", "keep_first", "union_all", "assign_keys", "new_rows",
+    "flatten", "fill", "fill_numeric", "require", "observed", "profile",
+    "Dim", "star_join",
     "brand_rows", "category_rows", "fact_rows", "load_dimension", "new_dimension_rows",
     "product_rows", "seller_rows", "Lake", "load_gold", "run", "silver_products", "silver_reviews",
     "build_session", "drop_scratch", "ensure_defaults", "materialize",

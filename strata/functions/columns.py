@@ -17,11 +17,6 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def nested(path: str) -> Column:
-    """A struct path such as ``a.b.c``; through an array of structs it yields an array."""
-    return F.col(path)
-
-
 def first_of(c: ColumnOrName) -> Column:
     """Element 0 of an array, null when the array is null or empty."""
     return F.get(_c(c), F.lit(0))
@@ -36,13 +31,15 @@ def to_long(c: ColumnOrName, strict: bool = True) -> Column:
     """Cast to 64-bit.
 
     strict: ``cast`` (under ANSI a malformed value fails the job, like the
-    reference's ``astype``). lenient: integral text first, then text such as
-    ``'12.0'`` through double (truncated toward zero), else null.
+    reference's ``astype``). lenient: integral text, also with a fraction of
+    zeros (``'12.0'``, exact for all 64-bit values); other numbers through double
+    (truncated toward zero), else null.
     """
     c = _c(c)
     if strict:
         return c.cast("long")
-    return F.coalesce(c.try_cast("long"), c.try_cast("double").try_cast("long"))
+    whole = F.regexp_replace(c.cast("string"), r"\.0*\s*$", "")
+    return F.coalesce(c.try_cast("long"), whole.try_cast("long"), c.try_cast("double").try_cast("long"))
 
 
 def array_length(c: ColumnOrName) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import materialize
@@ -38,29 +38,22 @@ def max_key(existing: DataFrame, key: str) -> int:
 def assign_keys(df: DataFrame, key: str, order: list, start: int = 0) -> DataFrame:
     """Add ``key`` = start+1, start+2, ... following ``order`` (a total order).
 
-    Distributed numbering: range-sort by ``order`` and write the result once
-    (one file per range partition, files named in range order, rows sorted inside),
-    read it back with each row's file name and position in the file, count rows
-    per file -- one number per file reaches the driver -- and add the file's offset
-    (a literal map) to the row's position. No step puts all rows in one task, the
-    numbering does not depend on how the read is split, and a re-run task reads
-    the same files.
+    Distributed numbering: range-sort by ``order`` and write the result once (one
+    file per range partition, numbered in range order, rows sorted inside), read it
+    back with each row's file and position in it, count rows per file, and join
+    the running sum of these counts (one row per file) back by file name. No step puts
+    all rows in one task, the numbering does not depend on how the read is split,
+    and a re-run task reads the same files.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     written = materialize(df.orderBy(*[c.asc_nulls_first() for c in order_cols]), "keys")
     pos = written.select("*", F.col("_metadata.file_name").alias("_file"),
                          F.col("_metadata.row_index").alias("_row"))
-    counts = sorted(pos.groupBy("_file").count().collect())
-    offsets, total = {}, 0
-    for f, n in counts:
-        offsets[f] = total
-        total += n
-    offset = (F.create_map(*[x for f, o in offsets.items() for x in (F.lit(f), F.lit(o).cast("long"))])
-              [F.col("_file")] if offsets else F.lit(0).cast("long"))
-    return (pos.withColumn(key, (F.lit(start) + offset + F.col("_row") + F.lit(1)).cast("long"))
-               .drop("_file", "_row"))
-
-
-def hash_key(cols: list[str]) -> Column:
-    """T11 alternative for very large first loads: a stable 64-bit hash of the natural key."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    # files are named part-<task number>-...; the number, not the text, gives the order
+    task = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long")
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (pos.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).withColumn("_task", task)
+                  .select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    return (pos.join(offsets, "_file")
+               .withColumn(key, (F.lit(start) + F.col("_offset") + F.col("_row") + F.lit(1)).cast("long"))
+               .drop("_file", "_row", "_offset"))

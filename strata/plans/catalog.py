@@ -25,11 +25,11 @@ from strata.plans.stand_in import decorate, landed_pages, listings, reviews, tab
 from strata.schemas import CATEGORY_NATURAL_KEY, REVIEW, SRC_FILE, SRC_ROW
 from strata.session import materialize, scratch_path
 from strata.sources.lake import read_csv, write_csv, write_parquet
-from strata.sources.mart import ParquetMart
+from strata.sources.mart import LOAD_BATCH, LOAD_SOURCE, Load, ParquetMart
 from strata.sources.pages import landed_rows
 
 # ---- Fixed values used by the stand-in queries --------------------------------
-EVENT_TYPES = ["signup", "view", "click", "error", "purchase"]
+BRANCHES = 3
 UNKNOWN_ORIGIN = silver.UNKNOWN_ORIGIN
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -88,11 +88,14 @@ def distinct_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def union_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Branches by a total rule (bucket of the event id; a null id is bucket 0), each
+    with its own columns, put together by name."""
     e = table(spark, d, "events")
+    bucket = F.coalesce(F.pmod(F.col("event_id"), F.lit(BRANCHES)), F.lit(0))
     parts = []
-    for t in EVENT_TYPES:
-        branch = e.where(F.col("event_type") == t)
-        parts.append(branch.drop("props") if t == "error" else branch)
+    for i in range(BRANCHES):
+        branch = e.where(bucket == i)
+        parts.append(branch.drop("props") if i == 1 else branch)
     return union_all(parts)
 
 
@@ -282,6 +285,7 @@ def two_load_dims(spark: SparkSession, d: str, s: DataFrame | None = None,
                                            r1.withColumn(surrogate, F.lit(None).cast("long")).schema)
         first = gold.new_dimension_rows(r1, empty_mart, key, surrogate=surrogate,
                                         start=0 if surrogate else None)
+        first = materialize(first, name)  # read twice: by the anti join and the union
         second = gold.new_dimension_rows(rows_of(load2), first, key, surrogate=surrogate)
         # the dimension as the mart holds it after both loads
         return materialize(first.unionByName(second), name)
@@ -336,6 +340,8 @@ EVENT_ITEM = StructType([StructField("event_id", LongType()), StructField("user_
 
 
 def page_landing(spark: SparkSession, d: str) -> DataFrame:
+    """Categories of events; bad pages lie at fixed shares of a category, so that the
+    rows kept grow with the table."""
     rows = landed_rows(landed_pages(spark, d), EVENT_ITEM)
     return rows.select("category", "page", "event_id", "user_id", "value")
 
@@ -348,9 +354,11 @@ def parquet_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Columns written in another order and with one more; found by name, the further one carried."""
     path = scratch_path(spark, "reviews_csv")
-    write_csv(reviews(spark, d).drop("_src_file", "_src_row"), path)
-    return read_csv(spark, path, REVIEW)
+    shuffled = ["rating", "content", "note", "seller_id", "id", "seller_name", "product_id", "customer_id"]
+    write_csv(reviews(spark, d).withColumn("note", F.concat(F.lit("n"), F.col("id").cast("string"))).select(*shuffled), path)
+    return read_csv(spark, path, REVIEW).drop(SRC_FILE, SRC_ROW)
 
 
 def mart_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -361,21 +369,6 @@ def mart_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return mart.read("dim_supplier")
 
 
-def medallion_two_loads(spark: SparkSession, d: str) -> DataFrame:
-    """Gold loads 1 and 2 into a Parquet mart; profile of every table afterwards."""
-    from strata.plans.medallion import Lake, load_gold
-    root = scratch_path(spark, "medallion")
-    lake, mart = Lake(f"{root}/lake"), ParquetMart(spark, f"{root}/mart")
-    s = silver_all(spark, d)
-    silver_path = lake.path("silver", "product")
-    write_parquet(s, silver_path, partition_by=[SRC_FILE])
-    sp = spark.read.parquet(silver_path)
-    load_gold(spark, sp.where(F.col(SRC_FILE).isin(LOAD1_FILES)), lake, mart)
-    tables = load_gold(spark, sp.where(~F.col(SRC_FILE).isin(LOAD1_FILES)), lake, mart)
-    return union_all([profile(tables[t], t) for t in
-                      ["dim_seller", "dim_category", "dim_brand", "dim_product", "fact"]])
-
-
 def land_stand_in(spark: SparkSession, d: str, root: str) -> tuple[str, str]:
     """Write the stand-in listings as category folders and the reviews as CSV files,
     each range-partitioned in file order (files named in that order)."""
@@ -389,15 +382,73 @@ def land_stand_in(spark: SparkSession, d: str, root: str) -> tuple[str, str]:
     return listing_dir, review_dir
 
 
-def medallion_run(spark: SparkSession, d: str) -> DataFrame:
-    """T1-T12 from landed files: the stand-in listings land as category folders
-    (written in file order by many tasks) and the reviews as CSV files; then
-    bronze, silver and gold run into a Parquet mart. Returns every gold table's profile."""
-    from strata.plans.medallion import Lake, run
-    root = scratch_path(spark, "medallion_run")
+def _landed(spark: SparkSession, d: str, name: str):
+    """A lake and a mart of its own, and the stand-in files landed for them."""
+    from strata.plans.medallion import Lake
+    root = scratch_path(spark, name)
     listing_dir, review_dir = land_stand_in(spark, d, f"{root}/landing")
-    return run(spark, listing_dir, review_dir, Lake(f"{root}/lake"),
-               ParquetMart(spark, f"{root}/mart"), partition_column="category")
+    return root, listing_dir, review_dir, Lake(f"{root}/lake"), ParquetMart(spark, f"{root}/mart")
+
+
+def medallion_run(spark: SparkSession, d: str) -> DataFrame:
+    """T1-T12 from landed files (category folders and CSV files written in file order by
+    many tasks) into a Parquet mart. Returns the rows and columns that every job wrote."""
+    from strata.plans.medallion import run
+    _, listing_dir, review_dir, lake, mart = _landed(spark, d, "medallion_run")
+    return run(spark, listing_dir, review_dir, lake, mart, load_id="first", partition_column="category")
+
+
+def _without_load(df: DataFrame) -> DataFrame:
+    return df.drop(LOAD_SOURCE, LOAD_BATCH)
+
+
+def medallion_fact(spark: SparkSession, d: str) -> DataFrame:
+    """The fact rows of a full run from landed nested files, run twice under one load id."""
+    from strata.plans.medallion import run
+    _, listing_dir, review_dir, lake, mart = _landed(spark, d, "medallion_fact")
+    for _ in range(2):
+        run(spark, listing_dir, review_dir, lake, mart, load_id="first", partition_column="category")
+    return _without_load(mart.read("fact"))
+
+
+def medallion_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """The review rows in the mart of reviews that arrived as files."""
+    from strata.streaming.incremental import run_reviews_available_now
+    root, _, review_dir, lake, mart = _landed(spark, d, "medallion_reviews")
+    for _ in range(2):  # the second run finds nothing new
+        run_reviews_available_now(spark, review_dir, lake, mart, f"{root}/checkpoint")
+    return _without_load(mart.read("review"))
+
+
+def medallion_loads(spark: SparkSession, d: str) -> DataFrame:
+    """Facts of three loads into one mart: the files of load 1 and then of load 2 through
+    two stream checkpoints, then all files through a batch run."""
+    from strata.plans.medallion import run
+    from strata.streaming.incremental import run_available_now
+    root, listing_dir, review_dir, lake, mart = _landed(spark, d, "medallion_loads")
+    landed = spark.read.parquet(listing_dir)
+    for i, some in enumerate((F.col("category").isin(LOAD1_FILES), ~F.col("category").isin(LOAD1_FILES))):
+        part = f"{root}/landing{i}"
+        (landed.where(some).select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+         .repartitionByRange("category", "f", "r").sortWithinPartitions("category", "f", "r").drop("f", "r")
+         .write.partitionBy("category").parquet(part))
+        run_available_now(spark, part, lake, mart, f"{root}/checkpoint{i}", partition_column="category")
+    run(spark, listing_dir, review_dir, lake, mart, load_id="all", partition_column="category")
+    kinds = F.when(F.col(LOAD_SOURCE).startswith("stream"), F.lit("stream")).otherwise(F.col(LOAD_SOURCE))
+    return mart.read("fact").withColumn("load", kinds).drop(LOAD_SOURCE, LOAD_BATCH)
+
+
+def medallion_two_loads(spark: SparkSession, d: str) -> DataFrame:
+    """Gold loads 1 and 2 into a Parquet mart; profile of every table afterwards."""
+    from strata.plans.medallion import Lake, load_gold
+    root = scratch_path(spark, "medallion")
+    lake, mart = Lake(f"{root}/lake"), ParquetMart(spark, f"{root}/mart")
+    load1, load2 = _loads(spark, d)
+    load_gold(spark, load1, lake, mart, Load.of_run("1"))
+    tables, _ = load_gold(spark, load2, lake, mart, Load.of_run("2"))
+    tables["fact"] = _without_load(tables["fact"])
+    return union_all([profile(tables[t], t) for t in
+                      ["dim_seller", "dim_category", "dim_brand", "dim_product", "fact"]])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -438,4 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_roundtrip": mart_roundtrip,
     "medallion_two_loads": medallion_two_loads,
     "medallion_run": medallion_run,
+    "medallion_fact": medallion_fact,
+    "medallion_reviews": medallion_reviews,
+    "medallion_loads": medallion_loads,
 }

@@ -17,7 +17,7 @@ from strata.functions.columns import path_level, to_long
 from strata.operators.dedup import distinct, keep_first
 from strata.operators.keys import assign_keys, max_key, new_rows
 from strata.operators.nulls import fill_numeric
-from strata.operators.profile import observation_profile, observed
+from strata.operators.profile import write_profiled
 from strata.operators.star import Dim, star_join
 from strata.schemas import (CATEGORY_NATURAL_KEY, DIM_PRODUCT_COLUMNS, DIM_SELLER_COLUMNS,
                             FACT_COLUMNS, FACT_MEASURES, SRC_FILE, SRC_ROW)
@@ -124,10 +124,8 @@ def load_dimension(spark: SparkSession, rows: DataFrame, mart: Mart, table: str,
     existing = mart.read(table, schema=_dim_schema(rows, surrogate))
     new = new_dimension_rows(rows, existing, key, surrogate=surrogate, null_safe=null_safe)
     # the lake write counts its rows as it goes (K5 without a second job)
-    counted, obs = observed(new, table)
-    write_parquet(counted, lake_path)
-    written = observation_profile(obs, table, len(new.columns))
-    landed = spark.read.parquet(lake_path)
+    written = write_profiled(new, table, lambda df: write_parquet(df, lake_path))
+    landed = spark.read.schema(new.schema).parquet(lake_path)
     if written["row_numbers"] > 0:  # P14: nothing new, nothing to append
         mart.append(landed, table)
     current = mart.read(table, schema=_dim_schema(rows, surrogate))

@@ -9,8 +9,9 @@ plans; only fixed values (character classes, fill texts) are shared.
 from __future__ import annotations
 
 from strata.functions.text import EMOJI_CLASS, WS_CLASS
-from strata.plans.catalog import DRIVER_TABLES, EVENT_TYPES, LOAD1_FILES
+from strata.plans.catalog import BRANCHES, DRIVER_TABLES, LOAD1_FILES
 from strata.plans.silver import UNKNOWN_ORIGIN
+from strata.plans.stand_in import CATEGORY_USERS, PAGE_SPAN
 
 # Column counts of the driver tables (FIXTURES.md section 6).
 DRIVER_COLUMNS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6,
@@ -196,7 +197,8 @@ rv AS (
   source, doc_id * 7, concat('DUP ', text), CAST(doc_id % 5 + 1 AS INTEGER), 1, doc_id
  FROM documents WHERE doc_id % 4 = 0)"""
 
-_PAGE = "CAST(floor(event_id / 40) AS INTEGER)"
+_PAGE = f"CAST(floor(event_id / {PAGE_SPAN}) AS INTEGER)"
+_BUCKET = f"CAST(user_id % {CATEGORY_USERS} AS INTEGER)"
 
 
 def _fact_profile() -> str:
@@ -205,6 +207,15 @@ def _fact_profile() -> str:
                               for t, n in parts)
 
 
+# One load of all files into an empty mart.
+RUN_CTES = DIM_CTES.replace(f"load1 AS (SELECT * FROM silver WHERE _src_file IN ({_LOAD1}))", "load1 AS (SELECT * FROM silver)").replace(
+    f"load2 AS (SELECT * FROM silver WHERE _src_file NOT IN ({_LOAD1}))", "load2 AS (SELECT * FROM silver WHERE false)")
+REVIEW_ROWS = f"""{REVIEW_CTE},
+        rfirst AS (SELECT * FROM rv QUALIFY row_number() OVER (PARTITION BY id, product_id, seller_id ORDER BY _c, _d) = 1),
+        review AS (SELECT id, product_id, CAST(seller_id AS BIGINT) AS seller_id, {clean_sql('content')} AS content, rating
+        FROM rfirst WHERE id IS NOT NULL AND product_id IS NOT NULL AND seller_id IS NOT NULL)"""
+
+
 SQL: dict[str, str] = {
     "nested_flatten": """SELECT p_partkey AS id, p_brand AS brand_name, p_type AS primary_category_name,
         CAST(p_size AS BIGINT) AS search_rank,
@@ -220,8 +231,7 @@ SQL: dict[str, str] = {
     "dedup_any": "SELECT DISTINCT user_id, event_type FROM events",
     "distinct_rows": "SELECT DISTINCT p_brand, p_type FROM part",
     "union_partitions": f"""SELECT event_id, ts, user_id, event_type, value,
-        CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props FROM events
-        WHERE event_type IN ({', '.join(_q(t) for t in EVENT_TYPES)})""",
+        CASE WHEN coalesce(((event_id % {BRANCHES}) + {BRANCHES}) % {BRANCHES}, 0) = 1 THEN NULL ELSE props END AS props FROM events""",
     "null_fill_constants": f"""SELECT p_partkey,
         CASE WHEN p_partkey % 5 = 0 THEN {_q(UNKNOWN_ORIGIN)} ELSE p_brand END AS p_brand,
         CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE p_size END AS p_size,
@@ -294,19 +304,26 @@ SQL: dict[str, str] = {
     "table_profile": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_numbers, {DRIVER_COLUMNS[t]} AS column_numbers FROM {t}"
         for t in DRIVER_TABLES),
-    "page_landing": f"""WITH p AS (SELECT event_type AS category, {_PAGE} AS page, event_id, user_id, value FROM events),
-        pages AS (SELECT DISTINCT category, page FROM p),
-        stops AS (SELECT category, min(page) AS stop FROM pages
-                  WHERE (page * 7 + length(category)) % 101 = 0 OR page % 97 = 40 GROUP BY category)
+    "page_landing": f"""WITH p AS (SELECT concat_ws('-', event_type, CAST({_BUCKET} AS VARCHAR)) AS category, {_BUCKET} AS bucket,
+          {_PAGE} AS page, event_id, user_id, value FROM events),
+        n AS (SELECT CAST(floor(max(event_id) / {PAGE_SPAN}) AS INTEGER) + 1 AS pages FROM events),
+        stops AS (SELECT DISTINCT category, page AS stop FROM p, n
+                  WHERE bucket < {CATEGORY_USERS - 1} AND page = CAST(floor(pages * (bucket + 1) / {CATEGORY_USERS + 1}) AS INTEGER))
         SELECT p.category, p.page, event_id, user_id, value FROM p LEFT JOIN stops s ON p.category = s.category
         WHERE s.stop IS NULL OR p.page < s.stop""",
     "parquet_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
-    "csv_roundtrip": f"WITH {REVIEW_CTE} SELECT id, product_id, seller_id, seller_name, customer_id, content, rating FROM rv",
+    "csv_roundtrip": f"WITH {REVIEW_CTE} SELECT id, product_id, seller_id, seller_name, customer_id, content, rating, concat('n', CAST(id AS VARCHAR)) AS note FROM rv",
     "mart_roundtrip": "SELECT s_suppkey, s_name FROM supplier UNION ALL SELECT s_suppkey, s_name FROM supplier",
     "medallion_two_loads": f"WITH {DIM_CTES} {_fact_profile()}",
-    "medallion_run": f"""WITH {DIM_CTES}, {REVIEW_CTE},
-        rfirst AS (SELECT * FROM rv QUALIFY row_number() OVER (PARTITION BY id, product_id, seller_id ORDER BY _c, _d) = 1)
-        {_fact_profile()} UNION ALL
-        SELECT 'review' AS table_name, count(*) AS row_numbers, 5 AS column_numbers FROM rfirst
-        WHERE id IS NOT NULL AND product_id IS NOT NULL AND seller_id IS NOT NULL""",
+    "medallion_run": f"""WITH {RUN_CTES}, {REVIEW_ROWS}
+        SELECT 'bronze_product' AS table_name, count(*) AS row_numbers, 25 AS column_numbers FROM lf UNION ALL
+        SELECT 'bronze_review', count(*), 9 FROM rv UNION ALL
+        SELECT 'silver_product', count(*), 44 FROM silver UNION ALL
+        SELECT 'silver_review', count(*), 5 FROM review UNION ALL
+        SELECT 'review', count(*), 5 FROM review UNION ALL {_fact_profile()}""",
+    "medallion_fact": f"WITH {RUN_CTES} SELECT * FROM fact",
+    "medallion_reviews": f"WITH {REVIEW_ROWS} SELECT * FROM review",
+    # the third load finds the dimensions that the first two have made
+    "medallion_loads": f"""WITH {DIM_CTES}, of_load AS (SELECT 'stream' AS load UNION ALL SELECT 'run-all')
+        SELECT fact.*, load FROM fact CROSS JOIN of_load""",
 }

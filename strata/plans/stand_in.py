@@ -158,16 +158,24 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+# Users of a category share user_id % CATEGORY_USERS; a page holds the events of PAGE_SPAN ids.
+CATEGORY_USERS, PAGE_SPAN = 8, 1600
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored listing-API responses from ``events``: category = event_type, page =
-    event_id // 40; some pages fail (status 500) or come back with empty data."""
+    """Stored listing-API responses from ``events``: category = event type and user bucket,
+    page = event_id // PAGE_SPAN. The page after (bucket + 1) ninths of all pages failed
+    (status 500, even buckets) or came back empty (odd ones); bucket 7 has no bad page."""
     e = table(spark, sf_dir, "events")
-    page = F.floor(F.col("event_id") / 40).cast("int")
-    grouped = (e.select(F.col("event_type").alias("category"), page.alias("page"),
+    pages = F.floor(e.agg(F.max("event_id")).scalar() / PAGE_SPAN).cast("int") + 1
+    bucket = (F.col("user_id") % CATEGORY_USERS).cast("int")
+    category = F.concat_ws("-", "event_type", bucket.cast("string"))
+    grouped = (e.select(category.alias("category"), bucket.alias("bucket"),
+                        F.floor(F.col("event_id") / PAGE_SPAN).cast("int").alias("page"),
                         F.struct("event_id", "user_id", "value").alias("item"))
-                .groupBy("category", "page").agg(F.collect_list("item").alias("data")))
-    status = F.when((F.col("page") * 7 + F.length("category")) % 101 == 0, F.lit(500)).otherwise(F.lit(200))
-    data = F.when(F.col("page") % 97 == 40, F.array().cast(grouped.schema["data"].dataType)).otherwise(
-        F.col("data"))
+                .groupBy("category", "bucket", "page").agg(F.collect_list("item").alias("data")))
+    bad = (F.col("bucket") < CATEGORY_USERS - 1) & (F.col("page") == F.floor(pages * (F.col("bucket") + 1) / (CATEGORY_USERS + 1)))
+    status = F.when(bad & (F.col("bucket") % 2 == 0), F.lit(500)).otherwise(F.lit(200))
+    data = F.when(bad & (F.col("bucket") % 2 == 1), F.array().cast(grouped.schema["data"].dataType)).otherwise(F.col("data"))
     return grouped.select("category", "page", status.alias("status"),
                           F.to_json(F.struct(data.alias("data"))).alias("body"))

@@ -9,6 +9,7 @@ get filled in by :func:`ensure_defaults`.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,15 +62,17 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session first. Only when nothing is configured (local runs and
-    tests) a private folder under the system temp dir is created and registered,
-    so ``DataFrame.checkpoint()`` and scratch tables have somewhere to go.
+    Read from the session first. When nothing is configured, only a local session
+    (one JVM: bench and tests) gets a private folder under the system temp dir; on a
+    cluster each executor would write to its own disk there, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(d)

@@ -28,7 +28,8 @@ def landed_rows(pages: DataFrame, item_schema: StructType, ok_status: int = 200)
     stops = pages.groupBy("category").agg(F.min(F.when(bad, F.col("page"))).alias("_stop"))
     parsed = pages.select("category", "page",
                           F.from_json("body", body).getField("data").alias("data"))
-    kept = (parsed.join(stops, "category")
+    stops = stops.withColumnRenamed("category", "_category")
+    kept = (parsed.join(stops, F.col("category").eqNullSafe(F.col("_category")))
                   .where(F.col("_stop").isNull() | (F.col("page") < F.col("_stop"))))
     return (kept.select("category", "page", F.posexplode("data").alias("item_pos", "item"))
                 .select("category", "page", "item_pos", "item.*"))
