@@ -61,9 +61,9 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     if not target.sum():
         return np.zeros(CELLS)
     p, q = raw / max(raw.sum(), 1), target.sum()
-    # the target's counts are backed by one pseudo-count a cell, spread as the raw text is
-    share = np.where(raw > 0, p, 1)
-    return np.where(raw > 0, np.log((target + CELLS * share) / (q + CELLS) / share), 0.0)
+    # the target's counts are backed by pseudo-counts spread as the raw text is: one a cell, a tenth of the target at most
+    back, share = min(CELLS, 0.1 * q), np.where(raw > 0, p, 1)
+    return np.where(raw > 0, np.log((target + back * share) / (q + back) / share), 0.0)
 
 
 def kth_largest(keys: DataFrame, k: int) -> tuple[float, int]:

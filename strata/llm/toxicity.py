@@ -51,7 +51,7 @@ LEET = {
 }
 EDGES = ".,;:!?\"'()[]{}%&#*~_-/\\"
 SUBSTITUTED, DROPPED, SHORTENED = 2.0, 1.0, 0.5  # channel costs (natural logarithms)
-SUSPECT = r"[0-9@$!|+(<€£¡*._~'\-]"
+SUSPECT = r"[^\p{L}]"  # anything but letters
 REPEATED = re.compile(r"(.)\1\1")
 
 
