@@ -21,6 +21,27 @@ HEADLINE = [
 ]
 
 
+def from_landed_files(spark, sf_dir: str) -> dict[str, float]:
+    """The stand-in listings landed once, then each layer from files, as a load runs."""
+    from strata.plans import catalog, medallion
+    from strata.session import scratch_path
+    from strata.sources.mart import Load, ParquetMart
+    root, load = scratch_path(spark, "bench"), Load.of_run("bench")
+    lake, mart, times = medallion.Lake(f"{root}/lake"), ParquetMart(spark, f"{root}/mart"), {}
+
+    def timed(name, fn, *args, **more):
+        t0 = time.perf_counter()
+        out = fn(*args, **more)
+        times[name] = round(time.perf_counter() - t0, 3)
+        return out
+
+    listings, _ = timed("landing", catalog.land_stand_in, spark, sf_dir, f"{root}/landing")
+    bronze, _ = timed("bronze_landed", medallion.bronze_products, spark, listings, lake, load, partition_column="category")
+    silver, _ = timed("silver_landed", medallion.silver_products, bronze, lake, load)
+    timed("gold_landed", medallion.load_gold, spark, silver, lake, mart, load)
+    return times
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -37,6 +58,7 @@ def main() -> None:
         t0 = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    times |= from_landed_files(spark, sf_dir)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
