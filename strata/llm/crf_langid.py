@@ -9,8 +9,8 @@ one with the largest expected number of words, its score that share.
 
 The lexicon counts the words of all training texts (hashed to ``LEXICON`` cells, summed
 by Spark). Weights are fitted by stochastic gradient ascent on the chains of a bounded
-sample of ``FIT_ROWS`` labelled texts (lowest hashes of the id; documented limit; whole
-texts). A chain is at most ``CHAIN`` words long; longer texts are a row of chains.
+sample of ``FIT_ROWS`` labelled texts (the lowest hashes of the id, as many of each
+language; documented limit; whole texts). The ``LANGUAGES`` most frequent are learned. A chain is at most ``CHAIN`` words long; longer texts are a row of chains.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for
 every text if nothing was learned; null languages aren't learned.
@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import MIX, hashes, mix, slices, sums, word_table
@@ -209,7 +209,11 @@ def train_model(train: DataFrame, fit_rows: int) -> Model | None:
     counts = lexicon(train)
     labels = sorted(frequent)
     model = Model(labels, np.stack([counts.get(x, np.zeros(LEXICON)) for x in labels], axis=1))
-    sample = train.withColumn("order", F.xxhash64("id")).orderBy("order").limit(fit_rows).toArrow().sort_by("order")
+    # as many texts of each language; their ids are chosen without moving texts
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    ids = (train.filter("id is not null").select("lang", "id").withColumn("place", F.row_number().over(order))
+           .filter(F.col("place") <= -(-fit_rows // len(labels))).select("lang", "id").distinct())
+    sample = train.join(F.broadcast(ids), ["lang", "id"], "left_semi").toArrow().sort_by("id")
     place = {x: i for i, x in enumerate(labels)}
     model.fit(sample.column("text").combine_chunks(), np.array([place[x] for x in sample.column("lang").to_pylist()]))
     return model

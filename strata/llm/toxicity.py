@@ -99,26 +99,30 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             out.append([(c * n, 0.0)] if n < 3 else [(c, SHORTENED), (c * 2, SHORTENED)])
         else:
             each = [(x * k, SUBSTITUTED * k) for x in LEET.get(c, "") for k in ((1,) if n == 1 else (1, 2))]
-            out.append([*each, ("", DROPPED if c not in LEET else SUBSTITUTED * 2)])
+            out.append([*each, ("", DROPPED if c not in LEET else SUBSTITUTED * 3)])
     return out
 
 
 def restore(token: str, model: np.ndarray) -> str:
     """The likeliest reading of one token."""
-    best = {(0, 0): (0.0, "")}
+    best: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None, "")}  # (score, path before, letters)
     for options in lattice(token):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in best.items():
+        after: dict[tuple[int, int], tuple] = {}
+        for (a, b), path in best.items():
             for letters, cost in options:
-                x, y, s = a, b, score - cost
+                x, y, s = a, b, path[0] - cost
                 for c in letters:
                     k = CLASS.get(c, OTHER)
                     s += float(model[x, y, k])
                     x, y = y, k
                 if (x, y) not in after or s > after[x, y][0]:
-                    after[x, y] = (s, text + letters)
+                    after[x, y] = (s, path, letters)
         best = after
-    return max((s + float(model[a, b, 0]), t) for (a, b), (s, t) in best.items())[1]
+    (_, path), out = max(((p[0] + float(model[a, b, 0]), p) for (a, b), p in best.items()), key=lambda x: x[0]), []
+    while path:
+        out.append(path[2])
+        path = path[1]
+    return "".join(reversed(out))
 
 
 class Reader:
@@ -163,7 +167,7 @@ def word_features(word: str) -> list[str]:
     return ["=" + word, *(word[:k] for k in (4, 5) if len(word) >= k)]
 
 
-def evidence(model: np.ndarray, weights: dict[str, float], texts: pa.Array, reader: Reader) -> np.ndarray:
+def evidence(weights: dict[str, float], texts: pa.Array, reader: Reader) -> np.ndarray:
     """(strongest weight, log(1 + number of different strong words)) of each text."""
     plain, at, bounds, spelled = reader.words(texts)
     get = weights.get
@@ -228,10 +232,13 @@ def learn(sample: DataFrame, model: np.ndarray) -> tuple[dict[str, float], np.nd
             plain, at, bounds, spelled = reader.words(b.column("text"))
             own = [[f for f in word_features(x) if f in known.value] for x in plain]
             toxic = b.column("toxic").to_pylist()
+            letterwise: dict[int, set[str]] = {}
+            for i, x in spelled:
+                letterwise.setdefault(i, set()).update(f for f in word_features(x) if f in known.value)
             count: dict[str, list[int]] = {}
             for i in range(b.num_rows):
                 found = {f for w in set(at[bounds[i]:bounds[i + 1]].tolist()) for f in own[w]}
-                found.update(f for j, x in spelled if j == i for f in word_features(x) if f in known.value)
+                found |= letterwise.get(i, set())
                 for f in found:
                     count.setdefault(f, [0, 0])[toxic[i]] += 1
             f = list(count)
@@ -253,7 +260,7 @@ def with_evidence(texts: DataFrame, model: np.ndarray, weights: dict[str, float]
         model, weights = shared.value
         reader = Reader(model)
         for b in slices(batches):
-            e = evidence(model, weights, b.column("text"), reader)
+            e = evidence(weights, b.column("text"), reader)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(e[:, 0]), pa.array(e[:, 1])], [*names, "strongest", "many"])
     return texts.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kept.items()) + ", strongest double, many double")
 
