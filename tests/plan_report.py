@@ -33,7 +33,7 @@ def main() -> None:
     from strata.sources.pages import landed_rows
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session(os.environ.get("PLAN_MASTER", "local[8]"), shuffle_partitions=8)
     bronze = tempfile.mkdtemp(prefix="strata-plans-") + "/bronze"
     stand_in.listings(spark, sf).drop("_src_file", "_src_row").write.parquet(bronze)
     listings = read_listings(spark, bronze)
@@ -52,7 +52,7 @@ def main() -> None:
          landed_rows(stand_in.landed_pages(spark, sf), catalog.EVENT_ITEM)),
     ]
     out = ["# Physical plans", "",
-           f"Final adaptive plans of the key jobs at `{sf}` (local[8]), generated by "
+           ff"Final adaptive plans of the key jobs at `{sf}`, generated by "
            "`tests/plan_report.py`. Expression lists are cut at 150 characters.", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", tree(df), "```", ""]
