@@ -52,7 +52,7 @@ def main() -> None:
          landed_rows(stand_in.landed_pages(spark, sf), catalog.EVENT_ITEM)),
     ]
     out = ["# Physical plans", "",
-           ff"Final adaptive plans of the key jobs at `{sf}`, generated by "
+           f"Final adaptive plans of the key jobs at `{sf}`, generated by "
            "`tests/plan_report.py`. Expression lists are cut at 150 characters.", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", tree(df), "```", ""]
