@@ -33,16 +33,17 @@ SPAN = "id long, text_key int, start int, count int"
 NAMES = ["id", "text_key", "start", "count"]
 #: Buckets for each shuffle partition.
 SPREAD = 8
+ZSTD = pa.Codec("zstd", compression_level=6)
 
 
 def pack_block(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, strings: list[bytes]) -> bytes:
     raw = b"".join([np.diff(ids, prepend=0).tobytes(), keys.astype(np.int32).tobytes(), starts.astype(np.int32).tobytes(), b"\n".join(strings)])
-    return np.array([len(ids), len(raw)], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+    return np.array([len(ids), len(raw)], np.int64).tobytes() + ZSTD.compress(raw, asbytes=True)
 
 
 def unpack_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
     n, size = np.frombuffer(block[:16], np.int64).tolist()
-    raw = pa.decompress(block[16:], decompressed_size=size, codec="zstd", asbytes=True)
+    raw = ZSTD.decompress(block[16:], decompressed_size=size, asbytes=True)
     return (np.cumsum(np.frombuffer(raw[:8 * n], np.int64)), np.frombuffer(raw[8 * n:12 * n], np.int32),
             np.frombuffer(raw[12 * n:16 * n], np.int32), raw[16 * n:].decode().split("\n"))
 
