@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -30,10 +32,16 @@ from strata.session import materialize
 
 #: Remembered words: two generations of so many.
 CACHED = 200_000
+SIGNS = ".,;:!?%&*$#|)]}\""
 
 
 class WordIds:
-    """Ids of white-space separated words; the tokenizer drops white space, so words don't touch each other."""
+    """Ids of white-space separated words; the tokenizer drops white space, so words don't touch each other.
+
+    Letters and the ASCII signs after them are separate pretokens, so each is looked up by itself. New words
+    of ASCII letters go straight to the tokenizer's model, other new words of letters are encoded many at a
+    time (each ends with a token that ends a word), and everything else one by one.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -41,21 +49,58 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.old = self.young
 
+    def encode(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def encode_letters(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(cut) != len(words):  # normalisation cut a word in two
+            return self.encode(words)
+        data = ids.tobytes()
+        return [data[4 * a:4 * b] for a, b in zip([0, *cut], cut, strict=False)]
+
+    def learn(self, words: set[str]) -> None:
+        """Add the ids of new words to the younger generation."""
+        model, young = self.tokenizer.model, self.young
+        letters, others = [], []
+        for w in words:
+            if w.isascii() and w.isalpha():
+                ids = [t.id for t in model.tokenize(w)]
+                young[w] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                (letters if w.isalpha() else others).append(w)
+        for some, encode in ((letters, self.encode_letters), (others, self.encode)):
+            for at in range(0, len(some), 200):
+                young.update(zip(some[at:at + 200], encode(some[at:at + 200]), strict=True))
+
     def of(self, words: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each word."""
+        parts = []
+        for w in words:
+            core = w.rstrip(SIGNS)
+            # a letter that normalisation ends with a mark would take the signs into the mark's pretoken
+            if core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core[-1]).lower().isalpha()):
+                parts.append((core.lower() if core.isascii() else core, w[len(core):]))
+            else:
+                parts.append((w, ""))
+        if len(self.young) >= CACHED:
+            self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        got = [young.get(w) or old.get(w) for w in words]
-        new = [i for i, x in enumerate(got) if x is None]
-        for at in range(0, len(new), 5000):
-            part = new[at:at + 5000]
-            for i, e in zip(part, self.tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False), strict=True):
-                got[i] = np.array(e.ids, "<u4").tobytes()
-        if len(young) >= CACHED:
-            self.old, self.young = young, {}
-        self.young.update((w, x) for w, x in zip(words, got, strict=True) if len(w) <= 64)
+        need = {x for p in parts for x in p if x and x not in young}
+        young.update((x, old[x]) for x in need if x in old)
+        self.learn({x for x in need if x not in old})
+        young[""] = b""
+        got = [young[a] + young[b] if b else young[a] for a, b in parts]
+        for x in need:
+            if len(x) > 64:
+                del young[x]
         return got
 
 
