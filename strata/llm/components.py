@@ -7,7 +7,7 @@ edges are combined before the shuffle for its minimum, and its join partition ca
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.session import materialize
@@ -28,11 +28,13 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (columns a, b of type long); component: the smallest node reachable."""
-    edges = materialize(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    before = None
+    edges, before = edges.select("a", "b").filter("a <> b").distinct(), None
     while True:
-        edges = materialize(star(star(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        # the write counts and sums up the edges as it goes; equal twice means that nothing changed
+        seen = Observation()
+        edges = materialize(star(star(edges, True), False).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), "edges")
+        now = (seen.get["n"], seen.get["sum"])
         if now == before or not now[0]:
             break
         before = now

@@ -7,9 +7,9 @@ later than the next arrivals. Two texts agree in a component with the probabilit
 their probability Jaccard. Components are banded; texts that share a band are candidates:
 
 1. each bucket's texts against the bucket's smallest, verified exactly;
-2. texts of a bucket that these links leave in different components, all with all, in
-   blocks of bounded size that emit only pairs whose signatures agree well enough;
-   verified exactly too. Texts already in one component need no further check.
+2. texts of a bucket that these links leave in different components meet with their shingles
+   in blocks of bounded size; pairs whose signatures agree well enough are verified exactly
+   there, and only links leave the block. Texts of one component need no further check.
 
 Exact copies are one class from the start, so a group of copies is one text here.
 Verification computes the probability Jaccard of the whole texts, on all shingles.
@@ -138,42 +138,84 @@ def stars(members: DataFrame) -> DataFrame:
     return members.join(least, ["band", "part"]).filter("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
-def unlinked(members: DataFrame, component: DataFrame, m: int, threshold: float) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures agree nearly as ``threshold`` asks; the stars' pairs were tried."""
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, elements, counts) of texts (node, text), written once; counts is empty where all are 1."""
+    def run(batches):
+        for b in slices(batches, most_rows=1 << int(ROW_BITS)):
+            row, element, count = shingles(*word_table(b.column("text")), words)
+            edge = np.searchsorted(row, np.arange(b.num_rows + 1))
+            parts = [(element[s:e], count[s:e]) for s, e in zip(edge[:-1], edge[1:], strict=True)]
+            sets = [x.tobytes() for x, _ in parts]
+            counts = [c.astype(np.uint32).tobytes() if len(c) and c.max() > 1 else b"" for _, c in parts]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary()), pa.array(counts, pa.binary())], ["node", "elements", "counts"])
+    return materialize(texts.select("node", "text").mapInArrow(run, "node long, elements binary, counts binary"), "sets")
+
+
+class Cell:
+    """Rows of one pair of blocks of a bucket; finds links between components."""
+
+    def __init__(self, t: pa.Table, s: int, e: int, m: int, band: int):
+        t = t.slice(s, e - s)
+        self.node, self.comp, self.least, own, other = (t.column(c).to_numpy() for c in ("node", "component", "least", "own", "other"))
+        self.band, self.size, self.width = t.column("band")[0].as_py(), band, m
+        self.sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, m)
+        self.sets, self.counts = t.column("elements"), t.column("counts")
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.x, self.y = np.flatnonzero(own <= other), np.flatnonzero(own > other)
+
+    def bag(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in self.known:
+            x, c = np.frombuffer(self.sets[i].as_py(), np.uint64), np.frombuffer(self.counts[i].as_py(), np.uint32).astype(np.int64)
+            self.known[i] = (x, c if len(c) else np.ones(len(x), np.int64))
+        return self.known[i]
+
+    def links(self, threshold: float, enough: float):
+        """One link, if any, of each row with each other component; candidates in order of their agreement."""
+        alone = not len(self.y)  # a block with itself, or with an empty one
+        for i in self.x[self.node[self.x] != self.least[self.x]].tolist():
+            z = self.x[self.x > i] if alone else self.y
+            z = z[(self.comp[z] != self.comp[i]) & (self.node[z] != self.least[z])]
+            same = self.sig[z] == self.sig[i]
+            # a pair is tried in the first band that it shares
+            before = same.reshape(len(z), self.width // self.size, self.size).all(axis=2)[:, :self.band].any(axis=1)
+            agree = same.mean(axis=1)
+            order = np.argsort(-agree, kind="stable")
+            done = set()
+            for j in z[order[(agree >= enough)[order] & ~before[order]]].tolist():
+                if self.comp[j] not in done and probability_jaccard(self.bag(i), self.bag(j)) >= threshold:
+                    done.add(self.comp[j])
+                    yield self.node[i], self.node[j]
+
+
+def links_between(members: DataFrame, component: DataFrame, docs: DataFrame, places: DataFrame, id_col: str, text_col: str,
+                  words: int, m: int, band: int, threshold: float) -> DataFrame:
+    """Links of texts of a bucket that are still in different components, written once; the stars' pairs were tried.
+
+    Pairs whose signatures agree nearly as ``threshold`` asks are verified where they meet, so that
+    only links leave a block."""
     at = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = at.groupBy("band", "part").agg(
         F.min("node").alias("least"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n"),
     ).filter("c0 <> c1 and n > 2")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    dealt = at.join(mixed, ["band", "part"]).withColumn("blocks", blocks).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = materialize(at.join(mixed, ["band", "part"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select(
+        "band", "part", "node", "component", "least", "sig", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")), "mixed")
+    sets = shingle_sets(texts_of(docs, places.join(dealt.select("node").distinct(), "node"), id_col, text_col), words)
     # a block meets each other block once: in the group named by (smaller, larger)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sets, "node").select(
         F.xxhash64("band", "part", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-        "band", "part", "own", "other", "node", "component", "least", "sig")
+        "band", "own", "other", "node", "component", "least", "sig", "elements", "counts")
     enough = threshold - 4 * np.sqrt(threshold * (1 - threshold) / m)
 
     def run(batches):
         for t in whole_groups(batches, "cell"):
             cell = t.column("cell").to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
-            node, comp, least, own, other = (t.column(c).to_numpy() for c in ("node", "component", "least", "own", "other"))
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, m)
-            found = []
-            for s, e in zip(edges[:-1], edges[1:], strict=True):
-                x = s + np.flatnonzero(own[s:e] <= other[s:e])
-                y = s + np.flatnonzero(own[s:e] > other[s:e])
-                alone = not len(y)  # a block with itself, or with an empty one
-                for i in x[node[x] != least[x]]:
-                    z = x[x > i] if alone else y
-                    z = z[(comp[z] != comp[i]) & (node[z] != least[z])]
-                    near = z[(sig[z] == sig[i]).mean(axis=1) >= enough]
-                    found += [(min(node[i], v), max(node[i], v)) for v in node[near].tolist()]
+            edges = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]]).tolist()
+            found = [x for s, e in zip(edges[:-1], edges[1:], strict=True) for x in Cell(t, s, e, m, band).links(threshold, enough)]
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long")
+    return materialize(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -186,9 +228,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = nodes.filter("sig is not null").select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(m // band - 1))).alias("band"))
     members = members.withColumn("part", F.substring("sig", F.col("band") * (4 * band) + 1, F.lit(4 * band)))
     places = nodes.select("node", "key", "text_key")
-    check = lambda pairs: verify(pairs, places, docs, id_col, text_col, words, threshold)
-    links = check(stars(members.select("node", "band", "part")))
-    rest = check(unlinked(members, connected_components(links), m, threshold))
+    links = verify(stars(members.select("node", "band", "part")), places, docs, id_col, text_col, words, threshold)
+    rest = links_between(members, connected_components(links), docs, places, id_col, text_col, words, m, band, threshold)
     component = connected_components(links.union(rest))
     of_copy = nodes.join(component, "node", "left").select("sha", F.coalesce("component", "node").alias("component"))
     tagged = rows.join(of_copy, "sha", "left").withColumn("component", F.coalesce("component", "row"))
