@@ -7,10 +7,14 @@ number of distinct next bytes), where the bytes that the longer context has seen
 excluded; below order 0 the bytes left are equally likely. Byte 255, never part of UTF-8,
 begins and ends a text.
 
-Contexts of every text are counted by Spark. Only nodes above the least count that keeps
-at most ``NODES`` of them make up the trie that tasks receive, whatever the corpus size.
-The base score needs every token's count: frequent tokens (``HEAD`` at most) are sent to
-the tasks, all others are joined.
+Contexts of every text are counted by Spark, and none is dropped. The trie stays dealt over
+tasks: the nodes of order ``LOW`` and below are sent to all (at most 256^(``LOW`` + 1) by
+the alphabet, whatever the corpus size), longer contexts lie with those that end in the
+same ``LOW`` + 1 bytes, so that a task has all that its codes ask for. The code length of
+each distinct code is worked out there once; the most frequent codes (``CODES`` at most)
+are sent to the tasks that score texts, all others are joined. The base score needs every
+token's count in the same way: frequent tokens (``HEAD`` at most) are sent, all others
+joined. What is sent or joined changes no result.
 
 Defined results: a null text counts as empty and has its end alone; a null id counts as
 the empty text for the fold; without training text every byte is equally likely.
@@ -26,11 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import MIX, row_of, slices, sums, two_columns, word_table
+from strata.llm.common import MIX, row_of, slices, sums, two_columns, whole_groups, word_table
 from strata.session import materialize
 
 ORDER = 5
-NODES = 3 << 20
+LOW = 2  # highest order that every task receives
+CODES = 3 << 20
+FLUSH = 3 << 20  # distinct codes that a counting or scoring task holds
 HEAD, HEAD_BYTES = 1 << 17, 32
 SLICE = 2 << 20
 EDGE = 255
@@ -61,25 +67,31 @@ def byte_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """(code, n) of all contexts with their next byte, over whole texts; summed in each task before the shuffle."""
+    """(code, n, every) of all contexts with their next byte, over whole texts (text, held_out): occurrences where not held out, and everywhere; summed in each task before the shuffle."""
     def run(batches):
-        codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        codes, counts = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
         for b in slices(batches, most=SLICE):
-            more = np.sort(byte_grams(b.column("text"))[0])
+            held = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            more, bounds = byte_grams(b.column("text"))
+            # the lowest bit tells a training text
+            more = np.sort((more << np.uint64(1)) | np.repeat(~held, np.diff(bounds)).astype(np.uint64))
             head = np.flatnonzero(np.concatenate([[True], more[1:] != more[:-1]]))
-            both = np.concatenate([codes, more[head]])
-            n = np.concatenate([counts, np.diff(np.concatenate([head, [len(more)]]))])
+            n = np.diff(np.concatenate([head, [len(more)]]))
+            learned = (more[head] & np.uint64(1)).astype(np.int64)
+            both = np.concatenate([codes, more[head] >> np.uint64(1)])
+            n = np.concatenate([counts, np.stack([n * learned, n], axis=1)])
             order = np.argsort(both, kind="stable")
             both, n = both[order], n[order]
             head = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
             codes, counts = both[head], np.add.reduceat(n, head)
-            if len(codes) > NODES:
+            if len(codes) > FLUSH:
                 yield batch(codes, counts)
                 codes, counts = codes[:0], counts[:0]
         if len(codes):
             yield batch(codes, counts)
-    batch = lambda c, n: pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(n)], ["code", "n"])
-    return texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    batch = lambda c, n: pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])], ["code", "n", "every"])
+    return (texts.select("text", F.coalesce("held_out", F.lit(True)).alias("held_out")).mapInArrow(run, "code long, n long, every long")
+            .groupBy("code").agg(F.sum("n").alias("n"), F.sum("every").alias("every")))
 
 
 def least_count(counts: DataFrame, most: int) -> int:
@@ -98,10 +110,10 @@ def least_count(counts: DataFrame, most: int) -> int:
 class Trie:
     """For each order k: sorted grams (k context bytes and the next), counts; contexts with total, kinds, and the excluded total below."""
 
-    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]):
-        self.grams = grams
-        self.contexts = []
-        for k, (g, c) in enumerate(grams):
+    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], low: Trie | None = None):
+        self.grams = grams = [*(low.grams if low else []), *grams]  # with ``low``: the orders above it
+        self.contexts = list(low.contexts) if low else []
+        for k, (g, c) in list(enumerate(grams))[len(self.contexts):]:
             context = g >> np.uint64(8)
             head = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(g) else np.zeros(0, np.int64)
             add = lambda v, head=head: np.add.reduceat(v, head) if len(head) else np.zeros(0)
@@ -138,48 +150,69 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-class Scorer:
-    """Answers for the trie's longest grams from a table by hash; all others from the trie."""
+class Head:
+    """Logarithms of the frequent codes by hash; a code whose slot another has is searched for."""
 
     BITS = 22
 
-    def __init__(self, trie: Trie):
-        self.trie = trie
-        codes, counts = trie.grams[-1]
-        order = np.argsort(counts, kind="stable")  # the most frequent is written last, and stays
-        codes = codes[order]
-        self.key, self.value = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.float32)
-        slot = self.slot(codes)
-        self.key[slot] = codes + np.uint64(1)
-        for at in range(0, len(codes), 1 << 18):
-            part = codes[at:at + (1 << 18)]
-            mine = self.key[s := self.slot(part)] == part + np.uint64(1)
-            self.value[s[mine]] = trie.log_probability(part[mine])
+    def __init__(self, codes: np.ndarray, logs: np.ndarray):
+        """``codes`` are sorted."""
+        self.codes, self.logs = codes, logs
+        self.place = np.zeros(1 << self.BITS, np.int32)
+        self.place[self.slot(codes)] = np.arange(len(codes))
 
     def slot(self, codes: np.ndarray) -> np.ndarray:
         return ((codes * MIX) >> np.uint64(64 - self.BITS)).astype(np.int64)
 
-    def __call__(self, codes: np.ndarray) -> np.ndarray:
-        slot = self.slot(codes)
-        out = self.value[slot].astype(np.float64)
-        miss = np.flatnonzero(self.key[slot] != codes + np.uint64(1))
+    def __call__(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(logarithms, whether known); 0 where it isn't."""
+        if not len(self.codes):
+            return np.zeros(len(codes)), np.zeros(len(codes), bool)
+        at = self.place[self.slot(codes)]
+        miss = np.flatnonzero(self.codes[at] != codes)
         some, back = np.unique(codes[miss], return_inverse=True)
-        out[miss] = self.trie.log_probability(some)[back]
-        return out
+        at[miss] = find(self.codes, some)[back]
+        return np.where(at >= 0, self.logs[at], 0.0), at >= 0
 
 
-def trie_arrays(counts: DataFrame, nodes: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(codes, counts) of each order, from at most ``nodes`` nodes in all."""
-    masked = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("code").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("code")) for k in range(ORDER + 1)]))
-    by_order = materialize(counts.select(masked.alias("g"), "n").groupBy("g.k", "g.code").agg(F.sum("n").alias("n")), "trie")
-    kept = by_order.filter(F.col("n") >= least_count(by_order, nodes)).toArrow()
-    k, code, n = (kept.column(c).to_numpy() for c in ("k", "code", "n"))
-    out = []
-    for i in range(ORDER + 1):
-        own = np.flatnonzero(k == i)
-        own = own[np.argsort(code[own].view(np.uint64))]
-        out.append((code[own].view(np.uint64), n[own]))
-    return out
+def order_grams(codes: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(grams, counts) of order ``k``."""
+    g = codes & mask(k + 1)
+    order = np.argsort(g, kind="stable")
+    g = g[order]
+    head = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
+    return g[head], np.add.reduceat(counts[order], head) if len(head) else counts[:0]
+
+
+def code_logs(counts: DataFrame) -> DataFrame:
+    """(code, every, log): natural logarithm of the probability of each code's last byte after the bytes before it, from all nodes of the trie."""
+    ends = F.col("code").bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1))
+    low = counts.filter("n > 0").groupBy(ends.alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    shared = counts.sparkSession.sparkContext.broadcast((low.column("code").to_numpy().view(np.uint64), low.column("n").to_numpy()))
+
+    def run(batches):
+        codes, n = shared.value
+        low, held, size = Trie([order_grams(codes, n, k) for k in range(LOW + 1)]), [], 0
+        for t in whole_groups(batches, "context"):
+            held.append(t)
+            size += t.num_rows
+            if size > FLUSH // 4:
+                yield logs(low, held)
+                held, size = [], 0
+        if held:
+            yield logs(low, held)
+
+    def logs(low: Trie, tables: list[pa.Table]) -> pa.RecordBatch:
+        t = pa.concat_tables(tables).combine_chunks()
+        code, n = t.column("code").to_numpy().view(np.uint64), t.column("n").to_numpy()
+        seen = n > 0
+        trie = Trie([order_grams(code[seen], n[seen], k) for k in range(LOW + 1, ORDER + 1)], low)
+        return pa.RecordBatch.from_arrays([t.column("code").chunk(0), t.column("every").chunk(0), pa.array(trie.log_probability(code))], ["code", "every", "log"])
+
+    # all contexts above LOW with the same last LOW + 1 bytes meet in one task
+    context = F.shiftright("code", 8).bitwiseAND(F.lit((1 << 8 * (LOW + 1)) - 1)).alias("context")
+    dealt = counts.select(context, "code", "n", "every").repartition("context").sortWithinPartitions("context")
+    return materialize(dealt.mapInArrow(run, "code long, every long, log double"), "logs")
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -191,12 +224,16 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return materialize(texts.select("text").mapInArrow(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c")), "tokens")
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", codes: int = CODES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score; learns where not ``held_out``."""
     spark = docs.sparkSession
     src = two_columns(docs, id_col, text_col, held_out.alias("held_out"))
     train = src.filter("not held_out")
-    arrays = trie_arrays(materialize(gram_counts(train), "grams"), nodes)
+    logs = code_logs(materialize(gram_counts(src), "grams"))
+    often = least_count(logs.select(F.col("every").alias("n")), codes)
+    top = logs.filter(F.col("every") >= often).select("code", "log").toArrow()
+    place = np.argsort(top.column("code").to_numpy())
+    arrays = top.column("code").to_numpy()[place].view(np.uint64), top.column("log").to_numpy()[place]
     tokens = token_counts(train)
     ends = train.count()  # each training text has one end
     words, distinct = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -207,10 +244,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     shared = spark.sparkContext.broadcast((arrays, dict(zip(head.column("token").to_pylist(), head.column("c").to_pylist(), strict=True))))
 
     def run(batches):
-        scorer, known = Scorer(Trie(shared.value[0])), shared.value[1]
+        frequent, known = Head(*shared.value[0]), shared.value[1]
         for b in slices(batches, most=SLICE):
             codes, bounds = byte_grams(b.column("text"))
-            lp = sums(scorer(codes), bounds) / math.log(10)
+            lp, there = frequent(codes)
+            lp = sums(lp, bounds) / math.log(10)
+            # the other codes of each text, with their counts
+            some, back = np.unique(codes[~there], return_inverse=True)
+            key, code_times = np.unique(row_of(bounds)[~there] * max(1, len(some)) + back, return_counts=True)
+            code_row, code = np.divmod(key, max(1, len(some)))
+            code_to = pa.array(np.searchsorted(code_row, np.arange(b.num_rows + 1)).astype(np.int32))
             words, at, edge = word_table(pc.ascii_lower(b.column("text")))
             c = np.array([known.get(w, 0) for w in words.to_pylist()], np.float64)
             here = c[at] > 0
@@ -223,14 +266,18 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             to = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([
                 b.column("id"), b.column("held_out"), pa.array(n + 1), pa.array(found), pa.array(logs), pa.array(lp),
-                pa.ListArray.from_arrays(to, words.take(pa.array(word))), pa.ListArray.from_arrays(to, pa.array(times.astype(np.int32)))], names)
+                pa.ListArray.from_arrays(to, words.take(pa.array(word))), pa.ListArray.from_arrays(to, pa.array(times.astype(np.int32))),
+                pa.ListArray.from_arrays(code_to, pa.array(some[code].view(np.int64))), pa.ListArray.from_arrays(code_to, pa.array(code_times.astype(np.int32)))], names)
 
-    names = ["id", "held_out", "n_tokens", "found", "logs", "score", "others", "times"]
-    rows = materialize(src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, found long, logs double, score double, others array<string>, times array<int>")
+    names = ["id", "held_out", "n_tokens", "found", "logs", "score", "others", "times", "codes", "code_times"]
+    rows = materialize(src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, found long, logs double, score double, others array<string>, times array<int>, codes array<long>, code_times array<int>")
                        .withColumn("row", F.monotonically_increasing_id()), "scored")
     other = (rows.select("row", F.explode(F.arrays_zip("others", "times")).alias("o")).select("row", F.col("o.others").alias("token"), F.col("o.times").alias("times"))
              .join(tokens, "token").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more_logs")))
+    rest = (rows.select("row", F.explode(F.arrays_zip("codes", "code_times")).alias("o")).select("row", F.col("o.codes").alias("code"), F.col("o.code_times").alias("times"))
+            .join(logs.filter(F.col("every") < often).select("code", "log"), "code").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("rest")))
     base = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + math.log10(ends + 1) - F.col("n_tokens") * math.log10(total + kinds + 1)
-    return rows.join(other, "row", "left").select(
+    return rows.join(other, "row", "left").join(rest, "row", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("found") + F.coalesce("more", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+        F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (F.col("score") + F.coalesce("rest", F.lit(0.0)) / math.log(10)).alias("score"))

@@ -224,6 +224,16 @@ def test_ppm_probabilities_sum_to_one():
         assert math.isclose(np.exp(trie.log_probability(every)).sum(), 1, rel_tol=1e-9)
 
 
+def test_ppm_scores_do_not_depend_on_what_is_sent(spark):
+    """Every context counts, also those that do not fit the table that tasks receive."""
+    docs = queries.documents(spark, SF)
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    want = {r.doc_id: r.score for r in ppm.score(docs, held).collect()}
+    for few in (0, 500):
+        got = {r.doc_id: r.score for r in ppm.score(docs, held, "doc_id", "text", few).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+
+
 def test_vectors_against_all_pairs(spark):
     """Isolated pairs, and a dense group far larger than a neighbour list."""
     rng = np.random.default_rng(5)
