@@ -11,9 +11,11 @@ A list full of neighbours above the threshold is saturated: more links may exist
 enlarged to all links of the node's component: the component's nodes compare with each
 other in double precision, in blocks of bounded size, which emit counts only.
 
-An audit compares a bounded sample of nodes (``AUDIT``, lowest hashes) with all others of
-their label; while fewer than ``RECALL`` of their links were found, ``k`` is doubled and the
-descent goes on, up to ``TRIES`` times.
+An audit compares bounded samples of nodes (``AUDIT`` with saturated components and as many
+others, lowest hashes) with all others of their label. Its recall is the mean over the nodes
+of a sample of the share of linked nodes that was found, the smaller of the two samples'.
+While it is below ``RECALL``, ``k`` is doubled, groups by fresh projections are added and the
+descent goes on; after ``TRIES`` descents all nodes of a label compare in blocks.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, or
 have no label, link with nothing; vectors of different length don't either; repeated rows
@@ -124,8 +126,8 @@ def valid_nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -
     return rows.join(same.select("label", "exact", "node"), ["label", "exact"], "left").select("row", "id", "node"), nodes
 
 
-def first_graph(nodes: DataFrame, k: int) -> DataFrame:
-    """Candidate edges from random groups and from groups by signs of random projections, both of bounded size."""
+def first_graph(nodes: DataFrame, k: int, turn: int = 0) -> DataFrame:
+    """Candidate edges from random groups and from groups by signs of random projections, both of bounded size; other ones at each ``turn``."""
     def coded(batches):
         for b in batches:
             n, unit = b.column("n").to_numpy(), b.column("unit").to_pylist()
@@ -133,14 +135,14 @@ def first_graph(nodes: DataFrame, k: int) -> DataFrame:
             size = np.array([len(u) for u in unit]) // 4
             for d in np.unique(size).tolist():
                 own = np.flatnonzero(size == d)
-                sides = matrix([unit[i] for i in own]) @ np.random.default_rng(d).standard_normal((d, TABLES * 20)).astype(np.float32) > 0
+                sides = matrix([unit[i] for i in own]) @ np.random.default_rng([d, turn] if turn else d).standard_normal((d, TABLES * 20)).astype(np.float32) > 0
                 bits = np.clip(np.ceil(np.log2(np.maximum(n[own] / GROUP, 1))), 0, 20).astype(np.int64)
                 each = sides.reshape(len(own), TABLES, 20) & (np.arange(20) < bits[:, None])[:, None, :]
                 code[own] = each @ (1 << np.arange(20))
             yield pa.RecordBatch.from_arrays([b.column("node"), b.column("part"), b.column("n"), pa.array(list(code), pa.list_(pa.int64()))], ["node", "part", "n", "code"])
     slim = nodes.select("node", "part", "n", "unit").mapInArrow(coded, "node long, part long, n long, code array<long>")
     signed = slim.select("node", F.posexplode("code"), "part").select("node", F.xxhash64("part", "pos", "col").alias("g"))
-    chance = [slim.select("node", F.xxhash64("part", F.lit(-t), F.pmod(F.xxhash64("node", F.lit(t)), F.ceil(F.col("n") / GROUP))).alias("g")) for t in (1, 2)]
+    chance = [slim.select("node", F.xxhash64("part", F.lit(-t), F.pmod(F.xxhash64("node", F.lit(t)), F.ceil(F.col("n") / GROUP))).alias("g")) for t in (2 * turn + 1, 2 * turn + 2)]
     dealt = materialize(signed.union(chance[0]).union(chance[1]), "groups")
     # a group of many is dealt at random into groups of about GROUP
     large = dealt.groupBy("g").agg(F.count("*").alias("size")).filter(F.col("size") > 2 * GROUP)
@@ -193,8 +195,25 @@ def exact_links(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
     return materialize(both.mapInArrow(run, "a long, b long"), "links")
 
 
-def count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, others): copies of all other nodes of its component that it links with; ``members``: node, component, label, copies, exact."""
+def roots(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the first row it is connected with."""
+    out = np.arange(len(near))
+    for i in range(len(near)):
+        if out[i] != i:
+            continue
+        reached = new = np.arange(len(near)) == i
+        while new.any():
+            new = near[new].any(axis=0) & ~reached
+            reached = reached | new
+        out[reached] = i
+    return out
+
+
+def count_in_blocks(members: DataFrame, threshold: float, connect: bool = False) -> DataFrame:
+    """(node, others, linked): copies and number of all other nodes of its component that it links with; ``members``: node, component, label, copies, exact.
+
+    With ``connect`` the rows of each block by themselves, and a node of the block that it is connected with as ``root``.
+    """
     def run(batches):
         for t, spans in groups(batches, "cell"):
             node, copies, own, other = (t.column(c).to_numpy() for c in ("node", "copies", "own", "other"))
@@ -208,32 +227,50 @@ def count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
                 near = matrix([exact[i] for i in x], np.float64) @ matrix([exact[i] for i in y], np.float64).T >= threshold
                 if alone:
                     np.fill_diagonal(near, False)
-                out = [(node[x], near @ copies[y])] + ([] if alone else [(node[y], copies[x] @ near)])
-                for i, n in out:
-                    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(n.astype(np.int64))], ["node", "others"])
+                out = [(node[x], near @ copies[y], near.sum(axis=1))] + ([] if alone else [(node[y], copies[x] @ near, near.sum(axis=0))])
+                i, n, linked = (np.concatenate(c) for c in zip(*out, strict=True))
+                root = i
+                if connect and near.any():
+                    both = near if alone else np.block([[np.zeros((len(x), len(x)), bool), near], [near.T, np.zeros((len(y), len(y)), bool)]])
+                    root = i[roots(both)]
+                some = linked > 0
+                yield pa.RecordBatch.from_arrays([pa.array(c[some].astype(np.int64)) for c in (i, n, linked, root)], ["node", "others", "linked", "root"])
     size = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = members.join(size, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cell = F.xxhash64("component", "label", F.least("own", "other"), F.greatest("own", "other"))
     rows = dealt.select(cell.alias("cell"), "node", "copies", "exact", "own", "other")
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "node long, others long").groupBy("node").agg(F.sum("others").alias("others"))
+    rows = rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "node long, others long, linked long, root long")
+    return rows if connect else rows.groupBy("node").agg(F.sum("others").alias("others"), F.sum("linked").alias("linked"))
 
 
 def count_links(links: DataFrame, graph: DataFrame, nodes: DataFrame, component: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(node, others, saturated) with the lists of saturated nodes' components enlarged to all their links."""
+    """(node, others, linked, saturated) with the lists of saturated nodes' components enlarged to all their links."""
     copies = nodes.select(F.col("node").alias("b"), "copies")
     both = links.union(links.select("b", "a"))
-    plain = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    plain = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"), F.count("*").alias("linked"))
     full = graph.groupBy("a").agg(F.count("*").alias("size"), F.min("sim").alias("least")).filter((F.col("size") >= k) & (F.col("least") >= threshold - 1e-4))
     dense = full.select(F.col("a").alias("node")).join(component, "node").select("component").distinct()
     members = component.join(dense, "component").join(nodes.select("node", "label", "copies", "exact"), "node")
     more = count_in_blocks(members, threshold)
-    return plain.join(more.withColumnRenamed("others", "all"), "node", "full").select("node", F.coalesce("all", "others").alias("others"))
+    return plain.join(more.select("node", F.col("others").alias("all"), F.col("linked").alias("all_linked")), "node", "full").select(
+        "node", F.coalesce("all", "others").alias("others"), F.coalesce("all_linked", "linked").alias("linked"), F.col("all").isNotNull().alias("saturated"))
+
+
+def all_links(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(component, counted) from all pairs of nodes of a label and length, in blocks."""
+    members = nodes.select("node", F.col("part").alias("component"), "label", "copies", "exact")
+    rows = materialize(count_in_blocks(members, threshold, connect=True), "blocks")
+    component = connected_components(rows.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
+    counted = rows.groupBy("node").agg(F.sum("others").alias("others"), F.sum("linked").alias("linked")).withColumn("saturated", F.lit(False))
+    return materialize(component, "component"), materialize(counted, "counted")
 
 
 def audit(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
-    """Share of the links of a sample of nodes that was found."""
-    sample = nodes.select("node", "label", "exact", "copies").orderBy(F.xxhash64("node"), "node").limit(AUDIT)
+    """Mean share of a node's linked nodes that was found, over a sample of nodes that have some: the smaller one of saturated nodes and others."""
+    split = nodes.select("node", "label", "exact").join(counted.select("node", "saturated"), "node", "left").withColumn("saturated", F.coalesce("saturated", F.lit(False)))
+    of = lambda saturated: split.filter(F.col("saturated") == saturated).orderBy(F.xxhash64("node"), "node").limit(AUDIT)
+    sample = of(False).union(of(True))
     asked = nodes.sparkSession.sparkContext.broadcast(sample.toPandas().to_dict("list"))
 
     def run(batches):
@@ -243,7 +280,7 @@ def audit(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
             asks.setdefault(key, []).append(i)
         for b in batches:
             label, exact = b.column("label").to_pylist(), b.column("exact").to_pylist()
-            node, copies = b.column("node").to_numpy(), b.column("copies").to_numpy()
+            node = b.column("node").to_numpy()
             rows: dict[tuple, list[int]] = {}
             for j, key in enumerate(zip(label, map(len, exact), strict=True)):
                 rows.setdefault(key, []).append(j)
@@ -252,10 +289,11 @@ def audit(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
                     own, to = rows[key], np.array([q["node"][i] for i in ask])
                     near = matrix([exact[j] for j in own], np.float64) @ matrix([q["exact"][i] for i in ask], np.float64).T >= threshold
                     near &= node[own][:, None] != to[None, :]
-                    yield pa.RecordBatch.from_arrays([pa.array(to), pa.array((copies[own] @ near).astype(np.int64))], ["node", "others"])
-    true = nodes.select("node", "label", "copies", "exact").mapInArrow(run, "node long, others long").groupBy("node").agg(F.sum("others").alias("true"))
-    found, there = true.join(counted, "node", "left").agg(F.sum(F.least(F.coalesce("others", F.lit(0)), "true")), F.sum("true")).first()
-    return found / there if there else 1.0
+                    yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(near.sum(axis=0).astype(np.int64))], ["node", "others"])
+    true = nodes.select("node", "label", "exact").mapInArrow(run, "node long, others long").groupBy("node").agg(F.sum("others").alias("true")).filter(F.col("true") > 0)
+    share = F.least(F.coalesce("linked", F.lit(0)), "true") / F.col("true")
+    found = true.join(counted, "node", "left").groupBy(F.coalesce("saturated", F.lit(False))).agg(F.avg(share)).collect()
+    return min((r[1] for r in found), default=1.0)
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -270,10 +308,15 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         component = materialize(connected_components(links), "component")
         counted = materialize(count_links(links, graph, nodes, component, k, threshold), "counted")
         recall = audit(nodes, counted, threshold)
-        if recall >= RECALL or attempt == TRIES - 1:
+        if recall >= RECALL:
+            break
+        if attempt == TRIES - 1:
+            component, counted = all_links(nodes, threshold)
+            recall = audit(nodes, counted, threshold)
             break
         k *= 2
-        graph = graph.withColumn("fresh", F.lit(True))
+        more = first_graph(nodes, k, attempt + 1).withColumn("fresh", F.lit(True))
+        graph = materialize(k_best(graph.withColumn("fresh", F.lit(True)).unionByName(more), k), "graph")
     own = nodes.select("node", "copies").join(counted, "node", "left").join(component, "node", "left").select(
         "node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     tagged = materialize(rows.join(own, "node", "left").withColumn("component", F.coalesce("component", "row")), "tagged")

@@ -252,6 +252,29 @@ def test_vectors_against_all_pairs(spark):
     assert all(got[i].n_links <= near[i].sum() for i in got) and found >= 0.98 * there
 
 
+@pytest.mark.parametrize(("tries", "recall"), [(3, 0.98), (1, 2.0)])
+def test_isolated_pairs_beside_a_hot_group(spark, monkeypatch, tries, recall):
+    """A hot group's links don't hide lost pairs: the first graph, of tiny groups, finds too few. Past the last try all pairs are compared."""
+    for name, value in {"GROUP": 4, "TABLES": 2, "TRIES": tries, "RECALL": recall}.items():
+        monkeypatch.setattr(nn_descent, name, value)
+    rng = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    one = unit(rng.standard_normal((500, 64)))
+    aside = rng.standard_normal((500, 64))
+    aside = unit(aside - (aside * one).sum(axis=1, keepdims=True) * one)
+    hot = unit(unit(rng.standard_normal(64)) + 0.02 * rng.standard_normal((300, 64)))
+    u = np.concatenate([one, 0.935 * one + np.sqrt(1 - 0.935 ** 2) * aside, hot])
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(u.tolist())], "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
+    got = {r.vec_id: r for r in nn_descent.near_vectors(df).collect()}
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    there = near[:1000].sum()
+    assert there >= 1000 and sum(got[i].n_links for i in range(1000)) >= 0.97 * there
+    if tries == 1:
+        assert all(r.n_links == near[i].sum() for i, r in got.items()) and {r.audit_recall for r in got.values()} == {1.0}
+        assert all(got[i].component_id == got[500 + i].component_id == i for i in range(500)) and len({got[i].component_id for i in range(1000, 1300)}) == 1
+
+
 def test_language_accuracy(spark):
     got = queries.op4_language(spark, SF).filter("held_out").join(queries.documents(spark, SF), "doc_id").collect()
     assert len(got) > 30 and np.mean([r.lang == r.lang_pred for r in got]) >= 0.95
