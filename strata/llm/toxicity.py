@@ -3,9 +3,12 @@
 1. A character trigram model is counted over all training texts (Spark sums the counts;
    ``CLASSES``^3 cells at most).
 2. A word with leetspeak, separators or a letter three times in a row, and a row of three
-   or more single letters, becomes a lattice: for each character the letters it may stand
-   for, or nothing. Viterbi search takes the path with the best channel cost plus model
-   probability. Other words stay as they are, without edge punctuation.
+   or more fragments (``FRAGMENT`` letters at most), becomes a lattice: for each character
+   the letters it may stand for, or nothing; for each gap of a row no space or a word's
+   edge. Viterbi search takes the path with the best channel cost plus model probability.
+   Of a row, every word joined from fragments counts that is part of a reading at most
+   ``MARGIN`` below the best, beside the words as written, and a row of single letters as
+   one word. Other words stay as they are, without edge punctuation.
 3. Restored words and their first letters are weighed by log odds of toxic against other
    labelled texts, learned on ``FIT_ROWS`` labelled texts at most (lowest hashes of the id;
    documented limit; whole texts). A feature counts once for each different word before
@@ -20,6 +23,7 @@ one kind every score is the share of toxic labels (0 without labels).
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
 
@@ -51,6 +55,10 @@ LEET = {
 }
 EDGES = ".,;:!?\"'()[]{}%&#*~_-/\\"
 SUBSTITUTED, DROPPED, SHORTENED = 2.0, 1.0, 0.5  # channel costs (natural logarithms)
+JOINED = 1.0  # the same, of a gap that is no word's edge
+FRAGMENT = 2  # letters
+WORD = 32  # pieces of a word within a row; a row of single letters is read as one word besides, however long
+MARGIN, BEAM = 4.0, 20.0
 SUSPECT = r"[^\p{L}]"  # anything but letters
 REPEATED = re.compile(r"(.)\1\1")
 
@@ -90,6 +98,7 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log((c3 + 5 * p2[None]) / (c3.sum(axis=2, keepdims=True) + 5)).astype(np.float32)
 
 
+@functools.lru_cache(4_000)
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each run of equal characters what it may stand for, with the channel's cost."""
     out = []
@@ -103,34 +112,82 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(token: str, model: np.ndarray) -> str:
+def advance(best: dict, options: list[tuple[str, float]], model: list) -> dict:
+    """Best (score, path before, letters) of each pair of last classes, after one more place of a lattice."""
+    after: dict[tuple[int, int], tuple] = {}
+    for (a, b), path in best.items():
+        for letters, cost in options:
+            x, y, s = a, b, path[0] - cost
+            for c in letters:
+                k = CLASS.get(c, OTHER)
+                s += model[x][y][k]
+                x, y = y, k
+            if (x, y) not in after or s > after[x, y][0]:
+                after[x, y] = (s, path, letters)
+    return after
+
+
+def likely_spans(pieces: tuple[str, ...], model: list) -> list[tuple[int, int]]:
+    """Each run of two or more pieces that is one word in a reading of the row not more than ``MARGIN`` below the best reading."""
+    place = [lattice(x) for x in pieces]
+    reach = [0.0]  # best reading of the pieces before each gap
+    spans: dict[tuple[int, int], float] = {}
+    open_: dict[int, dict] = {}
+    for j, options in enumerate(place):
+        open_[j] = {(0, 0): (0.0, None, "")}
+        ends = {}
+        for i in list(open_):
+            cost = JOINED if i < j else 0.0
+            for step in options:
+                open_[i] = advance(open_[i], [(x, c + cost) for x, c in step], model)
+                cost = 0.0
+            ends[i] = reach[i] + max([v[0] + model[a][b][0] for (a, b), v in open_[i].items()])
+        reach.append(max(ends.values()))
+        for i, v in ends.items():
+            spans[i, j + 1] = v - reach[i]
+            if v < reach[-1] - BEAM or j - i + 2 > WORD:
+                del open_[i]  # no longer word from there comes near the best reading
+    rest = [-math.inf] * len(pieces) + [0.0]
+    for (i, j), v in sorted(spans.items(), reverse=True):
+        rest[i] = max(rest[i], v + rest[j])
+    return [(i, j) for (i, j), v in spans.items() if j - i > 1 and reach[i] + v + rest[j] >= reach[-1] - MARGIN]
+
+
+def restore(token: str, model: list) -> str:
     """The likeliest reading of one token."""
     best: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None, "")}  # (score, path before, letters)
     for options in lattice(token):
-        after: dict[tuple[int, int], tuple] = {}
-        for (a, b), path in best.items():
-            for letters, cost in options:
-                x, y, s = a, b, path[0] - cost
-                for c in letters:
-                    k = CLASS.get(c, OTHER)
-                    s += float(model[x, y, k])
-                    x, y = y, k
-                if (x, y) not in after or s > after[x, y][0]:
-                    after[x, y] = (s, path, letters)
-        best = after
-    (_, path), out = max(((p[0] + float(model[a, b, 0]), p) for (a, b), p in best.items()), key=lambda x: x[0]), []
+        best = advance(best, options, model)
+    (_, path), out = max(((p[0] + model[a][b][0], p) for (a, b), p in best.items()), key=lambda x: x[0]), []
     while path:
         out.append(path[2])
         path = path[1]
     return "".join(reversed(out))
 
 
+def joined(pieces: tuple[str, ...], model: list, read) -> list[str]:
+    """Words of a row of fragments that aren't written as such; ``read`` restores a token."""
+    if not any(c.isalpha() for x in pieces for c in x):
+        return []
+    # a letter three times in a row is one piece, as within a word
+    whole = tuple(x for c, same in itertools.groupby(pieces) for n in [len(list(same))] for x in ([c * n] if len(c) == 1 and n > 2 else [c] * n))
+    out = dict.fromkeys(read("".join(whole[i:j])) for i, j in likely_spans(whole, model))
+    # each row of single characters in it as one word, too
+    for single, own in itertools.groupby(pieces, lambda x: len(x) == 1):
+        token = "".join(own) if single else ""
+        if len(token) > 2 and any(c.isalpha() for c in token):
+            out[read(token)] = None
+    return list(out)
+
+
 class Reader:
     """Restored words of texts."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model
-        self.restore = functools.lru_cache(100_000)(lambda t: restore(t, model))
+        table = model.tolist()  # nested lists: faster for single values
+        # the caches don't refer to the reader, so that it goes with its task
+        self.restore = read = functools.lru_cache(50_000)(lambda t: restore(t, table))
+        self.read_row = functools.lru_cache(10_000)(lambda pieces: joined(pieces, table, read))
 
     def words(self, texts: pa.Array):
         """(restored distinct words, word of each occurrence, bounds, letter by letter words as (row, word))."""
@@ -148,18 +205,22 @@ class Reader:
         return plain, at, bounds, list(self.spelled(words, at, bounds))
 
     def spelled(self, words: pa.Array, at: np.ndarray, bounds: np.ndarray):
-        """Words written as three or more single characters."""
+        """(row, word) of words written as rows of fragments."""
         if not len(at):
             return
         row = row_of(bounds)
-        single = (pc.utf8_length(words).to_numpy() == 1)[at]
-        new = np.concatenate([[True], (single[1:] != single[:-1]) | (row[1:] != row[:-1])])
+        # a word as a piece of a spelled one: without edge punctuation; a sign by itself may stand for a letter
+        pieces = pc.if_else(pc.equal(pc.utf8_length(words), 1), words, pc.utf8_trim(words, EDGES))
+        size = pc.utf8_length(pieces).to_numpy(zero_copy_only=False)
+        short = ((size > 0) & (size <= FRAGMENT))[at]
+        pieces = pieces.to_pylist()
+        new = np.concatenate([[True], (short[1:] != short[:-1]) | (row[1:] != row[:-1])])
         head = np.flatnonzero(new)
         end = np.concatenate([head[1:], [len(at)]])
-        for s, e in zip(head[single[head] & (end - head > 2)].tolist(), end[single[head] & (end - head > 2)].tolist(), strict=True):
-            token = "".join(words.take(pa.array(at[s:e])).to_pylist())
-            if any(c.isalpha() for c in token):
-                yield int(row[s]), self.restore(token)
+        some = short[head] & (end - head > 2)
+        for s, e in zip(head[some].tolist(), end[some].tolist(), strict=True):
+            for x in self.read_row(tuple(pieces[w] for w in at[s:e].tolist())):
+                yield int(row[s]), x
 
 
 def word_features(word: str) -> list[str]:

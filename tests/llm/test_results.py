@@ -309,6 +309,29 @@ def test_deobfuscation():
     assert seen[2] == ["clean", "text", "with", "2023", "numbers"]
 
 
+@pytest.mark.parametrize(("text", "word"), [
+    ("what a l o s e r", "loser"), ("you are a m o r o n", "moron"), ("y o u i d i o t", "idiot"), ("such s c u m.", "scum"), ("how st up id", "stupid"),
+    ("l o s e r", "loser"), ("a total m o r o n, a c l o w n!", "clown")])
+def test_spaced_words_beside_others(spaced_reader, text, word):
+    assert word in [x for _, x in spaced_reader.words(pa.array([text]))[3]]
+
+
+@pytest.fixture(scope="module")
+def spaced_reader(spark):
+    """The character model of the documents at sf0.01."""
+    docs = queries.documents(spark, "/root/testdata/sf0.01")
+    return toxicity.Reader(toxicity.log_model(toxicity.trigram_counts(docs.filter("text is not null"))))
+
+
+def test_a_spelled_word_is_not_cut(spaced_reader):
+    assert "loser" not in [x for _, x in spaced_reader.words(pa.array(["much c l o s e r now"]))[3]]
+
+
+def test_rows_of_one_short_word(spaced_reader):
+    """The work grows with the row's length only."""
+    assert len(spaced_reader.words(pa.array(["of " * 3000 + "l o s e r"]))[3]) < 100 * 3000
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
