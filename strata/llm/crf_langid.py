@@ -10,7 +10,8 @@ one with the largest expected number of words, its score that share.
 The lexicon counts the words of all training texts (hashed to ``LEXICON`` cells, summed
 by Spark). Weights are fitted by stochastic gradient ascent on the chains of a bounded
 sample of ``FIT_ROWS`` labelled texts (the lowest hashes of the id, as many of each
-language; documented limit; whole texts). The ``LANGUAGES`` most frequent are learned. A chain is at most ``CHAIN`` words long; longer texts are a row of chains.
+language; documented limit, but one of each language at least; whole texts). Every language is learned:
+lexicon and weights hold only the cells seen. A chain is at most ``CHAIN`` words long; longer texts are a row of chains.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for
 every text if nothing was learned; null languages aren't learned.
@@ -31,7 +32,6 @@ LEXICON = 1 << 16
 HASHED = 1 << 18
 CHAIN = 64
 LETTERS = 16  # letters of a word that features see from either end
-LANGUAGES = 64
 
 
 def letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,20 +73,29 @@ def totals(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, labels: list[str], lexicon: np.ndarray):
+    def __init__(self, labels: list[str], lexicon: np.ndarray | tuple[np.ndarray, np.ndarray, np.ndarray]):
+        """``lexicon``: counts by cell and label, or (cells, labels, counts) of those seen."""
         self.labels = labels
         n = len(labels)
-        share = lexicon + 0.5
-        self.lexicon = np.log(share / share.sum(axis=1, keepdims=True) * n).astype(np.float32)
-        self.weights = np.zeros((HASHED, n), np.float32)
+        cell, label, count = lexicon if isinstance(lexicon, tuple) else (*np.nonzero(lexicon), lexicon[np.nonzero(lexicon)])
+        order = np.argsort(cell, kind="stable")
+        self.first = np.searchsorted(cell[order], np.arange(LEXICON + 1))
+        # log share of a label in its cell, less that of a label not seen there: what all labels have alike cancels
+        self.label, self.share = label[order], np.log((count[order] + 0.5) / 0.5).astype(np.float32)
+        self.row = np.zeros(HASHED, np.int32)  # row of weights of a feature; 0 if it wasn't seen in learning
+        self.weights = np.zeros((1, n), np.float32)
         self.trust = np.float32(0.5)  # weight of the lexicon
         self.moves = (np.eye(n) * 2).astype(np.float32)
 
     def emissions(self, words: pa.Array) -> np.ndarray:
         h = hashes(words)
-        out = self.trust * self.lexicon[(h % np.uint64(LEXICON)).astype(np.int64)]
+        out = np.zeros((len(words), len(self.labels)), np.float32)
+        cell = (h % np.uint64(LEXICON)).astype(np.int64)
+        n = self.first[cell + 1] - self.first[cell]
+        entry = np.arange(n.sum()) + np.repeat(self.first[cell] - (np.cumsum(n) - n), n)
+        out[np.repeat(np.arange(len(words)), n), self.label[entry]] += self.trust * self.share[entry]
         for rows, f in features(words, h):
-            out[rows] += self.weights[f.astype(np.int64)]  # a row comes once in each kind
+            out[rows] += self.weights[self.row[f.astype(np.int64)]]  # a row comes once in each kind
         return out
 
     def chains(self, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,14 +135,20 @@ class Model:
             if t:
                 right = local[first[:k] + t] * back[:k]
                 if pairs:
-                    joint = forward[first[:k] + t - 1][:, :, None] * move * right[:, None, :]
-                    total += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+                    before = forward[first[:k] + t - 1]
+                    total += move * ((before / ((before @ move) * right).sum(axis=1, keepdims=True)).T @ right)
                 right = right @ move.T
                 back[:k] = right / right.sum(axis=1, keepdims=True)
         return (out, total) if pairs else out
 
     def fit(self, texts: pa.Array, label: np.ndarray, rounds: int = 3, rate: float = 0.2, batch: int = 100) -> None:
         """Adagrad on the log likelihood of the label sequences; each word of a text has the text's label."""
+        words = word_table(texts)[0]
+        seen = np.zeros(HASHED, bool)
+        for _, f in features(words, hashes(words)):
+            seen[f.astype(np.int64)] = True
+        self.row[seen] = np.arange(1, seen.sum() + 1)
+        self.weights = np.zeros((int(seen.sum()) + 1, len(self.labels)), np.float32)
         scale = np.full(self.weights.shape, 1e-3, np.float32)
         move_scale = np.full(self.moves.shape, 1e-3, np.float32)
         rng = np.random.default_rng(0)
@@ -154,7 +169,7 @@ class Model:
                 error *= np.repeat(1 / np.maximum(per, 1), per)[:, None]
                 by_word = totals(at, error, len(words))
                 for rows, f in features(words, hashes(words)):
-                    some, back = np.unique(f.astype(np.int64), return_inverse=True)
+                    some, back = np.unique(self.row[f.astype(np.int64)], return_inverse=True)
                     step = totals(back, by_word[rows], len(some)).astype(np.float32)
                     scale[some] += step ** 2
                     self.weights[some] += rate * step / np.sqrt(scale[some])
@@ -179,36 +194,27 @@ class Model:
         return [self.labels[b] if k else "und" for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.clip(score, 0, 1)
 
 
-def lexicon(train: DataFrame) -> dict[str, np.ndarray]:
-    """For each language its words by lexicon cell, over all training texts."""
+def lexicon(train: DataFrame) -> tuple[list[str], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(languages, (cells, languages, counts)): the words of each language by lexicon cell, over all training texts."""
     def run(batches):
-        total: dict[str, np.ndarray] = {}
         for b in slices(batches):
             words, at, bounds = word_table(b.column("text"))
             cell = (hashes(words) % np.uint64(LEXICON)).astype(np.int64)[at]
-            for i, lang in enumerate(b.column("lang").to_pylist()):
-                own = total.setdefault(lang, np.zeros(LEXICON, np.int64))
-                np.add.at(own, cell[bounds[i]:bounds[i + 1]], 1)
-        for lang, n in total.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(n[at])], ["lang", "cell", "n"])
-    sums_ = train.mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    out: dict[str, np.ndarray] = {}
-    for lang, cell, n in zip(*(c.to_pylist() for c in sums_.toArrow().select(["lang", "cell", "n"]).columns), strict=True):
-        out.setdefault(lang, np.zeros(LEXICON))[cell] = n
-    return out
+            lang = b.column("lang").dictionary_encode()
+            own = np.repeat(lang.indices.to_numpy().astype(np.int64), np.diff(bounds))
+            key, n = np.unique(own * LEXICON + cell, return_counts=True)
+            yield pa.RecordBatch.from_arrays([lang.dictionary.take(pa.array(key // LEXICON)), pa.array((key % LEXICON).astype(np.int32)), pa.array(n)], ["lang", "cell", "n"])
+    got = train.mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    labels = sorted(r[0] for r in train.select("lang").distinct().collect())
+    return labels, (got.column("cell").to_numpy(), pc.index_in(got.column("lang"), pa.array(labels, pa.string())).to_numpy(), got.column("n").to_numpy().astype(np.float64))
 
 
 def train_model(train: DataFrame, fit_rows: int) -> Model | None:
     """``train``: id, text, lang (not null)."""
-    # the most frequent languages: what is sent to the driver and to tasks is LANGUAGES x LEXICON counts at most
-    frequent = [r[0] for r in train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    if not frequent:
+    labels, counts = lexicon(train)
+    if not labels:
         return None
-    train = train.filter(F.col("lang").isin(frequent))
-    counts = lexicon(train)
-    labels = sorted(frequent)
-    model = Model(labels, np.stack([counts.get(x, np.zeros(LEXICON)) for x in labels], axis=1))
+    model = Model(labels, counts)
     # as many texts of each language; their ids are chosen without moving texts
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     ids = (train.filter("id is not null").select("lang", "id").withColumn("place", F.row_number().over(order))

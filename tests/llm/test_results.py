@@ -280,6 +280,16 @@ def test_language_accuracy(spark):
     assert len(got) > 30 and np.mean([r.lang == r.lang_pred for r in got]) >= 0.95
 
 
+def test_every_language_is_learned(spark):
+    """More languages than 64, each with words of its own."""
+    rng = random.Random(4)
+    words = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for _ in range(80)]
+    rows = [(j * 80 + i, " ".join(rng.choices(words[i], k=15)), f"l{i:02}") for i in range(80) for j in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in crf_langid.predict_language(df, F.col("doc_id") < 80).collect()}
+    assert np.mean([got[i] == f"l{i:02}" for i in range(80)]) >= 0.95
+
+
 def test_language_of_words_by_forward_backward():
     """Marginals of a small chain equal those summed over all label sequences."""
     model = crf_langid.Model(["a", "b"], np.ones((crf_langid.LEXICON, 2)))
