@@ -1,6 +1,8 @@
 """Language of texts by a linear-chain conditional random field over their words.
 
-Each word is a place in the chain and each learned language a label. A word's emission
+Each word is a place in the chain and each learned language a label; a word of more than
+``LETTERS`` characters, or of several scripts, is cut at punctuation and script changes into
+places of ``LETTERS`` at most, so that every letter counts (text without white space, too). A word's emission
 score sums weights of hashed features: its first and last 1 to 4 letters, its letter
 2- and 3-grams, the word itself, and its log share of each language in a lexicon; learned
 transition weights tie neighbouring words. Forward-backward gives each word's label
@@ -19,6 +21,10 @@ every text if nothing was learned; null languages aren't learned.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,13 +37,52 @@ FIT_ROWS = 1000
 LEXICON = 1 << 16
 HASHED = 1 << 18
 CHAIN = 64
-LETTERS = 16  # letters of a word that features see from either end
+LETTERS = 16  # letters of a place
+SIGNS = ".,;:!?\"'()[]{}|*%&$#-"
+
+
+@functools.lru_cache(1 << 16)
+def script(c: str) -> str | None:
+    """First part of a letter's Unicode name; empty for digits and marks, which go with the letters before them; None for punctuation and signs."""
+    kind = unicodedata.category(c)
+    if c.isalpha() and kind != "Lm":
+        return unicodedata.name(c, "OTHER").split(" ")[0].split("-")[0]
+    return None if kind[0] in "PSZC" and c not in "'’\u200c\u200d" else ""
+
+
+def pieces(word: str) -> list[str]:
+    """The places of a word."""
+    # an ASCII word in edge punctuation is one place, as is any short word of one script
+    if len(word.strip(SIGNS)) <= LETTERS and (word.isascii() or len({script(c) for c in word} - {"", None}) < 2):
+        return [word]
+    out, last = [""], ""
+    for c in word:
+        own = script(c)
+        if own is None or (own and last and own != last):
+            out.append("")
+            last = ""
+        if own is not None:
+            out[-1] += c
+            last = own or last
+    return [x[i:i + LETTERS] for x in out for i in range(0, len(x), LETTERS)] or [word]
+
+
+def place_table(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``word_table`` of the places of each text."""
+    words, at, bounds = word_table(texts)
+    cut = [pieces(w) for w in words.to_pylist()]
+    n = np.array([len(x) for x in cut], np.int64)
+    coded = pa.array(list(itertools.chain.from_iterable(cut)), pa.string()).dictionary_encode()
+    first, each = np.cumsum(n) - n, n[at]
+    ends = np.cumsum(each)
+    nth = np.arange(each.sum()) - np.repeat(ends - each, each)
+    return coded.dictionary, coded.indices.to_numpy()[np.repeat(first[at], each) + nth], np.concatenate([[0], ends])[bounds]
 
 
 def letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code points from the start, code points from the end, length) of each word in lower case without edge punctuation."""
     w = pc.utf8_lower(words).to_pylist()
-    w = [x.strip(".,;:!?\"'()[]{}|*%&$#-") for x in w]
+    w = [x.strip(SIGNS) for x in w]
     n = np.array([len(x) for x in w])
     left = np.array([x[:LETTERS] for x in w], f"U{LETTERS}") if w else np.zeros(0, f"U{LETTERS}")
     right = np.array([x[:-LETTERS - 1:-1] for x in w], f"U{LETTERS}") if w else left
@@ -143,7 +188,7 @@ class Model:
 
     def fit(self, texts: pa.Array, label: np.ndarray, rounds: int = 3, rate: float = 0.2, batch: int = 100) -> None:
         """Adagrad on the log likelihood of the label sequences; each word of a text has the text's label."""
-        words = word_table(texts)[0]
+        words = place_table(texts)[0]
         seen = np.zeros(HASHED, bool)
         for _, f in features(words, hashes(words)):
             seen[f.astype(np.int64)] = True
@@ -157,7 +202,7 @@ class Model:
             order = rng.permutation(len(texts))
             for s in range(0, len(order), batch):
                 part = order[s:s + batch]
-                words, at, bounds = word_table(texts.take(pa.array(part)))
+                words, at, bounds = place_table(texts.take(pa.array(part)))
                 if not len(at):
                     continue
                 per = np.diff(bounds)
@@ -181,7 +226,7 @@ class Model:
                 self.moves += rate * 0.2 * step / np.sqrt(move_scale)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        words, at, bounds = word_table(texts)
+        words, at, bounds = place_table(texts)
         lettered = pc.match_substring_regex(words, r"\p{L}").to_numpy(zero_copy_only=False)
         share = np.zeros((len(texts), len(self.labels)))
         if len(at):
@@ -198,7 +243,7 @@ def lexicon(train: DataFrame) -> tuple[list[str], tuple[np.ndarray, np.ndarray,
     """(languages, (cells, languages, counts)): the words of each language by lexicon cell, over all training texts."""
     def run(batches):
         for b in slices(batches):
-            words, at, bounds = word_table(b.column("text"))
+            words, at, bounds = place_table(b.column("text"))
             cell = (hashes(words) % np.uint64(LEXICON)).astype(np.int64)[at]
             lang = b.column("lang").dictionary_encode()
             own = np.repeat(lang.indices.to_numpy().astype(np.int64), np.diff(bounds))

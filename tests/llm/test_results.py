@@ -290,6 +290,21 @@ def test_every_language_is_learned(spark):
     assert np.mean([got[i] == f"l{i:02}" for i in range(80)]) >= 0.95
 
 
+def test_language_without_white_space(spark):
+    """Texts that are one run of letters, alike at both ends, and scripts that change within a run."""
+    rng = random.Random(6)
+    signs = {"l0": "".join(map(chr, range(0x4E00, 0x4E40))), "l1": "".join(map(chr, range(0x4E40, 0x4E80)))}
+    text = lambda lang: "一二三丁七万丈三上下丌不与丐丑专" + "".join(rng.choices(signs[lang], k=200)) + "且丕世丗"
+    rows = [(i, text(lang), lang) for i in range(80) for lang in [f"l{i % 2}"]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in crf_langid.predict_language(df, F.col("doc_id") < 40).collect()}
+    assert all(got[i] == f"l{i % 2}" for i in range(40))
+    assert crf_langid.pieces("日本語text") == ["日本語", "text"] and crf_langid.pieces("(word),") == ["(word),"]
+    assert "".join(crf_langid.pieces("a" * 50)) == "a" * 50
+    hindi = "अंतरराष्ट्रीयकरणकेलिए"
+    assert "".join(crf_langid.pieces(hindi)) == hindi and len(crf_langid.pieces(hindi)) == 2
+
+
 def test_language_of_words_by_forward_backward():
     """Marginals of a small chain equal those summed over all label sequences."""
     model = crf_langid.Model(["a", "b"], np.ones((crf_langid.LEXICON, 2)))
