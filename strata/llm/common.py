@@ -13,9 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 SLICE_BYTES = 8 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,3 +120,24 @@ def whole_groups(batches, key: str) -> Iterator[pa.Table]:
             held.append(batch)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``df`` with ``rank`` (0, 1, ... in each group, following ``order``, nulls first) and ``size`` (rows of the group).
+
+    Range-sorted and written once, then numbered by the place in the written files: a group that holds
+    most rows is spread over many tasks, and only one row per file and group is summed up in a window.
+    Rows that tie in ``order`` get ranks in any order. Nulls are a group of their own.
+    """
+    written = materialize(df.orderBy(*[F.col(c).asc_nulls_first() for c in [*group, *order]]), name)
+    at = written.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    per = at.groupBy("_file", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    own = Window.partitionBy(*group)
+    # files are named part-<task number>-..., in the order of the sort
+    before = own.orderBy(F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.select(F.col("_file").alias("_f"), *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group)),
+                        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_start"), F.sum("_n").over(own).alias("size"))
+    same = F.col("_file") == F.col("_f")
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return at.join(starts, same).select(*df.columns, (F.col("_start") + F.col("_row")).alias("rank"), "size")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, crf_langid, importance, nn_descent, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
+from strata.llm import bpe, crf_langid, importance, merkle, nn_descent, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
 from strata.llm.common import documents, remainder
 
 
@@ -61,7 +63,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir), width=13).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_nn_descent, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup)}
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document (by crc32 of the id) is found with its text in lower case."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    found = [*fields[:-1], F.when(remainder("doc_id", 3) == 0, lowered).otherwise(F.col("text"))]
+    return merkle.prove(documents(spark, sf_dir), fields, found, tree="lang", id_col="doc_id").drop("path")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_nn_descent, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup,
+                                   op12_merkle)}
+
+#: CTEs: the table of CRC-32 by its polynomial; ``crc_of`` is the checksum of a text of ASCII characters with it.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+
+
+def crc_of(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
+               lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)))"""
+
 
 SQL = {
     "op7_exact_dedup": """
@@ -79,4 +100,32 @@ SQL = {
         kept AS (SELECT doc_id, w, coalesce(js, []) AS js, [w[k] FOR k IN range(1, len(w) + 1) IF NOT list_contains(coalesce(js, []), k)] AS left_words
                  FROM d LEFT JOIN gone USING (doc_id))
         SELECT doc_id, len(w)::BIGINT AS n_words, len(js)::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept""",
+    "op12_merkle": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        named AS (SELECT *, CASE WHEN {crc_of("coalesce(doc_id::VARCHAR, '')")} % 3 = 0
+                                 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS seen FROM documents, crc),
+        fields AS (SELECT doc_id, lang, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR, text] AS a, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR, seen] AS b FROM named),
+        digests AS (SELECT doc_id, lang, sha256(array_to_string(list_transform(a, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) AS leaf,
+                           sha256(array_to_string(list_transform(b, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) AS found FROM fields),
+        leaves AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM digests),
+        up AS (SELECT 0 AS h, lang, rank, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+               UNION ALL SELECT h + 1, lang, rank // 8, sha256(string_agg(d, '' ORDER BY rank)), (n + 7) // 8 FROM up WHERE n > 1 GROUP BY h, lang, rank // 8, n),
+        subroots AS (SELECT h, lang, d AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM up WHERE n = 1),
+        top AS (SELECT 0 AS h, place AS rank, subroot AS d, count(*) OVER () AS n FROM subroots
+                UNION ALL SELECT h + 1, rank // 8, sha256(string_agg(d, '' ORDER BY rank)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY h, rank // 8, n),
+        beside AS (SELECT a.h, a.lang, a.rank, coalesce(string_agg(b.d, '' ORDER BY b.rank) FILTER (b.rank < a.rank), '') AS l,
+                          coalesce(string_agg(b.d, '' ORDER BY b.rank) FILTER (b.rank > a.rank), '') AS r
+                   FROM up a JOIN up b ON a.h = b.h AND a.lang IS NOT DISTINCT FROM b.lang AND a.rank // 8 = b.rank // 8 WHERE a.n > 1 GROUP BY ALL),
+        beside_top AS (SELECT a.h, a.rank, coalesce(string_agg(b.d, '' ORDER BY b.rank) FILTER (b.rank < a.rank), '') AS l,
+                              coalesce(string_agg(b.d, '' ORDER BY b.rank) FILTER (b.rank > a.rank), '') AS r
+                       FROM top a JOIN top b ON a.h = b.h AND a.rank // 8 = b.rank // 8 WHERE a.n > 1 GROUP BY ALL),
+        fold AS (SELECT 0 AS h, doc_id, lang, leaf, rank, found AS acc, '' AS beside FROM leaves
+                 UNION ALL SELECT f.h + 1, doc_id, f.lang, leaf, f.rank // 8, sha256(l || acc || r), f.beside || l || r
+                 FROM fold f JOIN beside b ON f.h = b.h AND f.lang IS NOT DISTINCT FROM b.lang AND f.rank = b.rank),
+        folded AS (SELECT f.*, subroot, place FROM fold f JOIN subroots s ON f.h = s.h AND f.lang IS NOT DISTINCT FROM s.lang),
+        fold_top AS (SELECT 0 AS h, doc_id, leaf, subroot, place AS rank, acc, beside FROM folded
+                     UNION ALL SELECT f.h + 1, doc_id, leaf, subroot, f.rank // 8, sha256(l || acc || r), f.beside || l || r
+                     FROM fold_top f JOIN beside_top b ON f.h = b.h AND f.rank = b.rank)
+        SELECT doc_id, leaf, subroot, d AS root, sha256(beside) AS proof_sha256, acc AS folded_root, acc = d AS verified
+        FROM fold_top f JOIN top t ON f.h = t.h WHERE t.n = 1""",
 }
