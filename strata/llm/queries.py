@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, crf_langid, importance, merkle, nn_descent, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
+from strata.llm import bpe, crf_langid, importance, merkle, nn_descent, piece_bpe, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
 from strata.llm.common import documents, remainder
 
 
@@ -71,8 +71,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(documents(spark, sf_dir), fields, found, tree="lang", id_col="doc_id").drop("path")
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_nn_descent, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup,
-                                   op12_merkle)}
+                                   op12_merkle, op13_sentencepiece)}
 
 #: CTEs: the table of CRC-32 by its polynomial; ``crc_of`` is the checksum of a text of ASCII characters with it.
 CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
