@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, crf_langid, importance, merkle, nn_descent, piece_bpe, ppm, probminhash, ss_packing, superkmer, toxicity, tree_dedup
+from strata.llm import bpe, crf_langid, importance, merkle, nn_descent, piece_bpe, ppm, prefix_trie, probminhash, ss_packing, superkmer, toxicity, tree_dedup
 from strata.llm.common import documents, remainder
 
 
@@ -63,6 +63,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir), width=13).drop("kept")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations begin with the first turns of the one whose id is the next multiple of 5 below."""
+    turns = prefix_trie.turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.trie(*prefix_trie.share_heads(turns, F.col("conv") - F.col("conv") % 5, remainder("conv", 9)))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third document (by crc32 of the id) is found with its text in lower case."""
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
@@ -76,7 +82,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_nn_descent, op3_bpe, op4_language, op5_ppm, op6_importance, op7_exact_dedup, op8_packing, op9_near_dedup, op10_substring_dedup,
-                                   op12_merkle, op13_sentencepiece)}
+                                   op11_prefix_trie, op12_merkle, op13_sentencepiece)}
 
 #: CTEs: the table of CRC-32 by its polynomial; ``crc_of`` is the checksum of a text of ASCII characters with it.
 CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
@@ -104,6 +110,29 @@ SQL = {
         kept AS (SELECT doc_id, w, coalesce(js, []) AS js, [w[k] FOR k IN range(1, len(w) + 1) IF NOT list_contains(coalesce(js, []), k)] AS left_words
                  FROM d LEFT JOIN gone USING (doc_id))
         SELECT doc_id, len(w)::BIGINT AS n_words, len(js)::BIGINT AS n_removed, sha256(array_to_string(left_words, ' ')) AS kept_sha256 FROM kept""",
+    "op11_prefix_trie": f"""
+        WITH {CRC_TABLE},
+        turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos
+                  FROM conversations WHERE conv_id IS NOT NULL),
+        sizes AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS head FROM turns GROUP BY conv_id),
+        asked AS (SELECT *, {crc_of("conv_id::VARCHAR")} % 9 AS h FROM sizes, crc),
+        convs AS (SELECT a.conv_id, a.head, a.h, least(a.h, coalesce(s.n, 0)) AS taken FROM asked a LEFT JOIN sizes s ON s.conv_id = a.head),
+        rebuilt AS (SELECT c.conv_id, pos AS depth, role, text FROM convs c JOIN turns t ON t.conv_id = c.head AND pos <= taken
+                    UNION ALL SELECT conv_id, taken + pos - h, role, text FROM convs JOIN turns USING (conv_id) WHERE pos > h),
+        prefixes AS (SELECT conv_id, depth, strlen(text) AS bytes, sha256(string_agg(sha256(strlen(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS k
+                     FROM rebuilt UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+        nodes AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes FROM prefixes GROUP BY depth, k),
+        lengths AS (SELECT conv_id, max(depth) AS depth FROM prefixes GROUP BY conv_id),
+        ends AS (SELECT depth, k, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS e FROM prefixes JOIN lengths USING (conv_id, depth) GROUP BY depth, k),
+        links AS (SELECT DISTINCT c.depth, c.k, u.k AS uk FROM prefixes c JOIN prefixes u ON c.conv_id = u.conv_id AND c.depth = u.depth + 1),
+        children AS (SELECT depth - 1 AS depth, uk AS k, count(*) AS n FROM links GROUP BY ALL),
+        below AS (SELECT DISTINCT u.depth, u.k, c.depth AS cd, c.k AS ck FROM prefixes u JOIN prefixes c ON c.conv_id = u.conv_id AND c.depth >= u.depth),
+        sums AS (SELECT b.depth, b.k, count(*) FILTER (h.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved
+                 FROM below b JOIN nodes n ON n.depth = cd AND n.k = ck LEFT JOIN children h ON h.depth = cd AND h.k = ck GROUP BY b.depth, b.k)
+        SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, n_leaves, saved AS saved_tokens, coalesce(e, sha256('')) AS ends_sha256
+        FROM nodes n JOIN sums USING (depth, k) LEFT JOIN children c USING (depth, k) LEFT JOIN ends USING (depth, k)
+        LEFT JOIN links l ON l.depth = n.depth AND l.k = n.k LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.k = l.uk""",
     "op12_merkle": f"""
         WITH RECURSIVE {CRC_TABLE},
         named AS (SELECT *, CASE WHEN {crc_of("coalesce(doc_id::VARCHAR, '')")} % 3 = 0
