@@ -10,8 +10,8 @@ the letters of both anew gives just these two. So a text can be read from left t
 * if none is left, the place is marked in a bitfield of failed places, the last piece is taken back and
   a shorter one tried there. No place is tried again once it failed, so the work is linear.
 
-A text is cut where no piece can reach across (before a word mark that follows another letter), which changes
-nothing, and each distinct word of a slice is encoded once.
+A text is cut where no piece can reach across (before a word mark that follows another letter; between letters that
+stand side by side in no piece), which changes nothing, and each distinct part of a slice is encoded once.
 
 Defined results: a null text counts as empty and has the end id only. Letters without a piece become byte
 pieces, or the unknown id where the model has none (one for neighbours). Decoding skips null and control ids and
@@ -24,6 +24,7 @@ from __future__ import annotations
 import array
 import functools
 import hashlib
+import operator
 import struct
 
 import ahocorasick
@@ -42,8 +43,11 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 UNKNOWN_SIGN_FIELD, CHARSMAP_FIELD, DUMMY_PREFIX_FIELD, EXTRA_SPACE_FIELD = 44, 2, 3, 4
 UNKNOWN_SIGN = " ⁇ "
-#: Remembered words and pairs: two generations of so many each; words of so many letters at most.
-CACHED, CACHED_CHARS = 200_000, 64
+#: Remembered parts of words: two generations of so many, of so many letters at most; remembered pairs.
+CACHED, CACHED_CHARS, CACHED_PAIRS = 500_000, 64, 500_000
+#: Codes of pieces begin above the letters'; START stands before the first.
+PIECE = 0x110000
+START = (1 << 21) - 1
 
 
 def fields(data: bytes):
@@ -72,24 +76,6 @@ def fields(data: bytes):
         yield tag >> 3, value
 
 
-class Remembered:
-    """The most recent answers of ``find``: two generations of ``CACHED`` entries."""
-
-    def __init__(self, find):
-        self.find, self.young, self.old = find, {}, {}
-
-    def __call__(self, key):
-        got = self.young.get(key)
-        if got is None:
-            got = self.old.get(key)
-            if got is None:
-                got = self.find(key)
-            if len(self.young) >= CACHED:
-                self.old, self.young = self.young, {}
-            self.young[key] = got
-        return got
-
-
 class Pieces:
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -118,13 +104,21 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.cut_words = not any(MARK in s.lstrip(MARK) for s in self.id)
         self.apart = "\n" not in "".join(self.id)  # no piece reaches over a line's end
+        self.reach = {s[i:i + 2] for s in self.id for i in range(len(s) - 1)}  # letters that stand side by side in a piece
+        # codes: a letter's own number for a letter without a piece, PIECE + id for a piece
         self.automaton = ahocorasick.Automaton()
-        for s in self.id:
-            self.automaton.add_word(s, len(s))
+        self.text_of, self.size, self.shorter = {}, {}, {}
+        for s, i in self.id.items():
+            self.automaton.add_word(s, (PIECE + i, len(s)))
+            self.text_of[PIECE + i], self.size[PIECE + i] = s, len(s)
+            # the longest piece that begins this one, else its first letter
+            ahead = next((PIECE + self.id[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in self.id), ord(s[0]))
+            if len(s) > 1:
+                self.shorter[PIECE + i] = ahead
         self.automaton.make_automaton()
-        self.fits = Remembered(lambda pair: self.join(pair[0] + pair[1]) == list(pair))
-        self.whole = Remembered(lambda piece: self.join(piece) == [piece])
-        self.word = Remembered(self.encoded)
+        self.pairs: dict[int, bool] = {}
+        self.young: dict[str, tuple[bytes, int, str]] = {}
+        self.old = self.young
 
     def join(self, text: str) -> list[str]:
         """The letters of a short text, joined by score."""
@@ -140,55 +134,60 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def shorter(self, piece: str) -> str | None:
-        """The longest piece that begins ``piece``; its first letter if there is none; None for a letter."""
-        for n in range(len(piece) - 1, 0, -1):
-            if n == 1 or piece[:n] in self.id:
-                return piece[:n]
-        return None
-
-    def divide(self, text: str) -> list[str]:
-        """The pieces of a text (a letter without a piece stands for itself)."""
-        n = len(text)
-        longest = [1] * n if n <= CACHED_CHARS else array.array("i", [1]) * n  # length of the longest piece at each place
-        for last, size in self.automaton.iter(text):
-            longest[last + 1 - size] = size  # the one that ends last is the longest
-        failed = bytearray((n >> 3) + 1)  # a bit for each place
-        taken: list[str] = []
-        at, piece = 0, text[:longest[0]]
+    def fits(self, a: int, b: int) -> bool:
+        """Whether the codes are what their letters join to; ``a`` is START for a first piece."""
+        parts = [self.text_of.get(x) or chr(x) for x in (a, b) if x != START]
+        fit = self.join("".join(parts)) == parts
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        self.pairs[a << 21 | b] = fit
+        return fit
+
+    def divide(self, text: str) -> list[int]:
+        """The codes of a text's pieces (a letter without a piece stands for itself)."""
+        n, size, shorter, pairs = len(text), self.size.get, self.shorter.get, self.pairs
+        longest = list(map(ord, text)) if n <= CACHED_CHARS else array.array("i", map(ord, text))  # code of the longest piece at each place
+        for last, (code, letters) in self.automaton.iter(text):
+            longest[last + 1 - letters] = code  # the one that ends last is the longest
+        failed, any_failed = bytearray((n >> 3) + 1), False  # a bit for each place
+        taken = [START]
+        at, code = 0, longest[0]
         while at < n:
-            end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (self.fits((taken[-1], piece)) if taken else self.whole(piece)):
-                taken.append(piece)
-                at = end
-                if at < n:
-                    piece = text[at:at + longest[at]]
-                continue
-            piece = self.shorter(piece)
-            while piece is None:  # nothing fits here: go back to the piece before
+            end = at + size(code, 1)
+            if not any_failed or not failed[end >> 3] >> (end & 7) & 1:
+                fit = pairs.get(taken[-1] << 21 | code)
+                if self.fits(taken[-1], code) if fit is None else fit:
+                    taken.append(code)
+                    at = end
+                    if at < n:
+                        code = longest[at]
+                    continue
+            code = shorter(code)
+            while code is None:  # nothing fits here: go back to the piece before
                 failed[at >> 3] |= 1 << (at & 7)
-                piece = taken.pop()
-                at -= len(piece)
-                piece = self.shorter(piece)
-        return taken
+                any_failed = True
+                code = taken.pop()
+                at -= size(code, 1)
+                code = shorter(code)
+        return taken[1:]
 
     def encoded(self, text: str) -> tuple[bytes, int, str]:
         """Ids of a word in decimal, each with a blank after it, their number, and what they decode to (word marks left in)."""
         ids = self.ids(text)
-        return b"".join([b"%d " % i for i in ids]), len(ids), self.surface(ids)
+        back = self.surface(ids)
+        return b"%d " * len(ids) % tuple(ids), len(ids), text if back == text else back
 
     def ids(self, text: str) -> list[int]:
         """Ids of a normalised text."""
         taken = self.divide(text)
-        out = [i for i in map(self.id.get, taken) if i is not None]
-        if len(out) == len(taken):
-            return out
-        out.clear()
-        for piece in taken:
-            if (i := self.id.get(piece)) is not None:
-                out.append(i)
+        if min(taken) >= PIECE:
+            return [x - PIECE for x in taken]
+        out: list[int] = []
+        for x in taken:
+            if x >= PIECE:
+                out.append(x - PIECE)
             elif self.byte:
-                out.extend(self.byte[b] for b in piece.encode())
+                out.extend(self.byte[b] for b in chr(x).encode())
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
         return out
@@ -227,7 +226,24 @@ class Pieces:
         return regex.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text) if self.cut_words else [text]
 
     def look_up(self, word: str) -> tuple[bytes, int, str]:
-        return self.word(word) if len(word) <= CACHED_CHARS else self.encoded(word)
+        """``encoded`` of a word, in parts between which no piece can reach (the signs after a word)."""
+        got = self.young.get(word)
+        if got is not None:
+            return got
+        cuts = [i for i, x in enumerate(map(operator.add, word, word[1:]), 1) if x not in self.reach] if self.byte else []
+        if not cuts:
+            return self.part(word)
+        ids, counts, back = zip(*(self.part(word[a:b]) for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)), strict=True)
+        return b"".join(ids), sum(counts), "".join(back)
+
+    def part(self, word: str) -> tuple[bytes, int, str]:
+        """``encoded``, remembered."""
+        got = self.young.get(word) or self.old.get(word) or self.encoded(word)
+        if len(word) <= CACHED_CHARS:
+            if len(self.young) >= CACHED:
+                self.old, self.young = self.young, {}
+            self.young[word] = got
+        return got
 
     def encode_all(self, texts: pa.Array):
         """(ids in decimal, each with a blank after it; their number; decoded text) of each text."""
@@ -244,14 +260,18 @@ class Pieces:
         marked[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
         marked[at == end] = False
         key = at * 2 + marked
-        found: list = [None] * (2 * len(names))
+        ids, back, count = [b""] * (2 * len(names)), [""] * (2 * len(names)), np.zeros(2 * len(names), np.int64)
         for k in np.flatnonzero(np.bincount(key, minlength=2 * len(names))).tolist():
-            found[k] = self.look_up(MARK * (k & 1) + names[k >> 1])
-        key = key.tolist()
+            ids[k], count[k], back[k] = self.look_up(MARK * (k & 1) + names[k >> 1])
+        total = np.concatenate([[0], np.cumsum(count[key])])[bounds]
+        total, key = np.diff(total).tolist(), key.tolist()
         for i, is_odd in enumerate(odd.tolist()):
-            parts = [self.look_up(w) for w in self.words(texts[i].as_py())] if is_odd else [found[k] for k in key[bounds[i]:bounds[i + 1]]]
-            ids, count, back = zip(*parts, strict=True) if parts else ((), (), ())
-            yield b"".join(ids), sum(count), self.plain("".join(back))
+            if is_odd:
+                parts = [self.look_up(w) for w in self.words(texts[i].as_py())]
+                yield b"".join(x[0] for x in parts), sum(x[1] for x in parts), self.plain("".join(x[2] for x in parts))
+            else:
+                run = key[bounds[i]:bounds[i + 1]]
+                yield b"".join(map(ids.__getitem__, run)), total[i], self.plain("".join(map(back.__getitem__, run)))
 
 
 def decode_bytes(run: bytes) -> str:
