@@ -395,7 +395,7 @@ def medallion_run(spark: SparkSession, d: str) -> DataFrame:
     many tasks) into a Parquet mart. Returns the rows and columns that every job wrote."""
     from strata.plans.medallion import run
     _, listing_dir, review_dir, lake, mart = _landed(spark, d, "medallion_run")
-    return run(spark, listing_dir, review_dir, lake, mart, load_id="first", partition_column="category")
+    return run(spark, listing_dir, review_dir, lake, mart, load_id="first", partition_column="category").drop("current_rows")
 
 
 def _without_load(df: DataFrame) -> DataFrame:
@@ -420,24 +420,62 @@ def medallion_reviews(spark: SparkSession, d: str) -> DataFrame:
     return _without_load(mart.read("review"))
 
 
+def _land_part(spark: SparkSession, listing_dir: str, category, part: str) -> str:
+    """Some categories of landed listings, in a landing folder of their own and in the same order."""
+    (spark.read.parquet(listing_dir).where(category).select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+     .repartitionByRange("category", "f", "r").sortWithinPartitions("category", "f", "r").drop("f", "r")
+     .write.partitionBy("category").parquet(part))
+    return part
+
+
 def medallion_loads(spark: SparkSession, d: str) -> DataFrame:
     """Facts of three loads into one mart: the files of load 1 and then of load 2 through
     two stream checkpoints, then all files through a batch run."""
     from strata.plans.medallion import run
     from strata.streaming.incremental import run_available_now
     root, listing_dir, review_dir, lake, mart = _landed(spark, d, "medallion_loads")
-    landed = spark.read.parquet(listing_dir)
     for i, some in enumerate((F.col("category").isin(LOAD1_FILES), ~F.col("category").isin(LOAD1_FILES))):
-        part = f"{root}/landing{i}"
-        (landed.where(some).select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
-         .repartitionByRange("category", "f", "r").sortWithinPartitions("category", "f", "r").drop("f", "r")
-         .write.partitionBy("category").parquet(part))
+        part = _land_part(spark, listing_dir, some, f"{root}/landing{i}")
         run_available_now(spark, part, lake, mart, f"{root}/checkpoint{i}", partition_column="category")
     run(spark, listing_dir, review_dir, lake, mart, load_id="all", partition_column="category")
     kinds = F.when(F.col(LOAD_SOURCE).startswith("stream"), F.lit("stream")).otherwise(F.col(LOAD_SOURCE))
     return mart.read("fact").withColumn("load", kinds).drop(LOAD_SOURCE, LOAD_BATCH)
 
 
+def _reloaded(spark: SparkSession, d: str, name: str):
+    """A load of all categories, loaded again with those of load 1 only."""
+    from strata.plans.medallion import run
+    root, listing_dir, review_dir, lake, mart = _landed(spark, d, name)
+    run(spark, listing_dir, review_dir, lake, mart, load_id="first", partition_column="category")
+    less = _land_part(spark, listing_dir, F.col("category").isin(LOAD1_FILES), f"{root}/less")
+    run(spark, less, review_dir, lake, mart, load_id="first", partition_column="category")
+    return lake, mart
+
+
+def medallion_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Facts of a load that was loaded again with fewer categories: the new files' only."""
+    return _without_load(_reloaded(spark, d, "medallion_reload")[1].read("fact"))
+
+
+def medallion_reload_dims(spark: SparkSession, d: str) -> DataFrame:
+    """Lake copies of the dimensions of such a load: what it brought, whichever attempt brought it."""
+    from strata.plans.medallion import read_layer
+    lake, mart = _reloaded(spark, d, "medallion_reload_dims")
+    shown = {"dim_seller": ("seller_id", "seller_type"), "dim_category": ("category_id", "category"),
+             "dim_brand": ("brand_id", "brand_name"), "dim_product": ("product_id", "name")}
+    return union_all([read_layer(spark, lake, mart, "gold", t, Load.of_run("first")).select(
+        F.lit(t).alias("table_name"), F.col(key).alias("key"), F.col(text).alias("text")) for t, (key, text) in shown.items()])
+
+
+def medallion_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """K5 of a second load: rows that each job wrote, and rows of the table as it is afterwards."""
+    from strata.plans.medallion import run
+    root, listing_dir, review_dir, lake, mart = _landed(spark, d, "medallion_profiles")
+    first = F.col("category").isin(LOAD1_FILES)
+    run(spark, _land_part(spark, listing_dir, first, f"{root}/part1"), review_dir, lake, mart, load_id="1", partition_column="category")
+    return run(spark, _land_part(spark, listing_dir, ~first, f"{root}/part2"), review_dir, lake, mart, load_id="2", partition_column="category")
+
+
 def medallion_two_loads(spark: SparkSession, d: str) -> DataFrame:
     """Gold loads 1 and 2 into a Parquet mart; profile of every table afterwards."""
     from strata.plans.medallion import Lake, load_gold
@@ -492,4 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "medallion_fact": medallion_fact,
     "medallion_reviews": medallion_reviews,
     "medallion_loads": medallion_loads,
+    "medallion_reload": medallion_reload,
+    "medallion_reload_dims": medallion_reload_dims,
+    "medallion_profiles": medallion_profiles,
 }

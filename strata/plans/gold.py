@@ -1,10 +1,10 @@
 """Gold jobs: dimensions (T5-T8), surrogate keys (T11), fact (T9), reviews.
 
 The ``*_rows`` functions are lazy and write nothing: they turn silver rows into
-one row per natural key. ``load_dimension`` / ``load_fact`` do the I/O: new rows
+one row per natural key. ``load_dimension`` does the I/O: new rows
 are found with an anti join against the mart, written to the lake first, read
-back, and only then appended to the mart -- so the lake copy is exactly what was
-appended (the reference's lazy frame re-read the mart after the append and
+back, and only then added to the mart -- so the lake copy is exactly what was
+added (the reference's lazy frame re-read the mart after the append and
 wrote an empty lake copy).
 """
 
@@ -22,7 +22,7 @@ from strata.operators.star import Dim, star_join
 from strata.schemas import (CATEGORY_NATURAL_KEY, DIM_PRODUCT_COLUMNS, DIM_SELLER_COLUMNS,
                             FACT_COLUMNS, FACT_MEASURES, SRC_FILE, SRC_ROW)
 from strata.sources.lake import write_parquet
-from strata.sources.mart import Mart
+from strata.sources.mart import Load, Mart
 
 # ---- Fixed values (must equal the reference's rules) -------------------------
 # Fill for missing category levels 3 and 4 (levels 1 and 2 stay null).
@@ -119,17 +119,23 @@ def fact_rows(silver: DataFrame, dim_product: DataFrame, dim_seller: DataFrame,
 
 def load_dimension(spark: SparkSession, rows: DataFrame, mart: Mart, table: str,
                    key: list[str], lake_path: str, surrogate: str | None = None,
-                   null_safe: bool = True) -> dict:
-    """Append the new rows of one dimension; return its profile and the current table."""
+                   null_safe: bool = True, load: Load | None = None) -> dict:
+    """Write the new rows of one dimension, to the lake first; their profile, their folders in the
+    mart (for the log of loads), and the table with them. Without ``load`` they are appended at once."""
     existing = mart.read(table, schema=_dim_schema(rows, surrogate))
     new = new_dimension_rows(rows, existing, key, surrogate=surrogate, null_safe=null_safe)
     # the lake write counts its rows as it goes (K5 without a second job)
     written = write_profiled(new, table, lambda df: write_parquet(df, lake_path))
     landed = spark.read.schema(new.schema).parquet(lake_path)
+    staged = mart.log is not None and load is not None
+    folders: list[str] = []
     if written["row_numbers"] > 0:  # P14: nothing new, nothing to append
-        mart.append(landed, table)
-    current = mart.read(table, schema=_dim_schema(rows, surrogate))
-    return {"table": current, "new": landed, "profile": written}
+        if staged:
+            folders = mart.stage_load(landed, table, load)
+        else:
+            mart.append(landed, table)
+    current = existing.unionByName(landed) if staged else mart.read(table, schema=_dim_schema(rows, surrogate))
+    return {"table": current, "new": landed, "profile": written, "rows": folders}
 
 
 def _dim_schema(rows: DataFrame, surrogate: str | None):

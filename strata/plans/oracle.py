@@ -326,4 +326,22 @@ SQL: dict[str, str] = {
     # the third load finds the dimensions that the first two have made
     "medallion_loads": f"""WITH {DIM_CTES}, of_load AS (SELECT 'stream' AS load UNION ALL SELECT 'run-all')
         SELECT fact.*, load FROM fact CROSS JOIN of_load""",
+    "medallion_reload": f"""WITH {RUN_CTES}, less AS (SELECT * FROM silver WHERE _src_file IN ({_LOAD1})),
+        {_fact_cte("again", _CAT_JOIN_FULL).replace("FROM silver s", "FROM less s")} SELECT * FROM again""",
+    "medallion_reload_dims": f"""WITH {RUN_CTES} SELECT 'dim_seller' AS table_name, seller_id AS key, seller_type AS text FROM dim_seller
+        UNION ALL SELECT 'dim_category', category_id, category FROM dim_category UNION ALL SELECT 'dim_brand', brand_id, brand_name FROM dim_brand
+        UNION ALL SELECT 'dim_product', product_id, name FROM dim_product""",
+    "medallion_profiles": f"""WITH {DIM_CTES}, {REVIEW_ROWS},
+        {_fact_cte("fact2", _CAT_JOIN_FULL).replace("FROM silver s", "FROM load2 s")},
+        counts AS (SELECT 'bronze_product' AS table_name, count(*) AS row_numbers, 25 AS column_numbers, count(*) AS current_rows FROM lf WHERE _src_file NOT IN ({_LOAD1})
+        UNION ALL SELECT 'silver_product', count(*), 44, count(*) FROM load2
+        UNION ALL SELECT 'bronze_review', count(*), 9, count(*) FROM rv
+        UNION ALL SELECT 'silver_review', count(*), 5, count(*) FROM review
+        UNION ALL SELECT 'review', count(*), 5, 2 * count(*) FROM review
+        UNION ALL SELECT 'dim_seller', (SELECT count(*) FROM dim_seller) - count(*), 4, (SELECT count(*) FROM dim_seller) FROM s1
+        UNION ALL SELECT 'dim_category', (SELECT count(*) FROM dim_category) - count(*), 8, (SELECT count(*) FROM dim_category) FROM c1k
+        UNION ALL SELECT 'dim_brand', (SELECT count(*) FROM dim_brand) - count(*), 3, (SELECT count(*) FROM dim_brand) FROM b1k
+        UNION ALL SELECT 'dim_product', (SELECT count(*) FROM dim_product) - count(*), 17, (SELECT count(*) FROM dim_product) FROM p1
+        UNION ALL SELECT 'fact', count(*), 15, (SELECT count(*) FROM fact) FROM fact2)
+        SELECT * FROM counts""",
 }
