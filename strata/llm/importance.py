@@ -28,6 +28,8 @@ from strata.session import materialize
 
 CELLS = 1 << 16
 STEPS = 1024
+#: Ids of target texts that ``chosen_ids`` names at most (with the lowest hashes).
+TARGET_IDS = 100_000
 
 
 def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -42,18 +44,21 @@ def ngrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return cell[order].astype(np.int64), np.searchsorted(owner[order], np.arange(len(texts) + 1))
 
 
-def cell_counts(texts: DataFrame) -> np.ndarray:
-    """n-gram counts by cell over whole texts (column text)."""
+def cell_counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """n-gram counts by cell over whole texts (text, target: whether it is one of the target's): of the target's, of all. One scan."""
     def run(batches):
-        total = np.zeros(CELLS, np.int64)
+        own, all_ = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
         for b in slices(batches):
-            total += np.bincount(ngrams(b.column("text"))[0], minlength=CELLS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["cell", "n"])
-    rows = texts.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(CELLS)
-    out[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
-    return out
+            cell, bounds = ngrams(b.column("text"))
+            all_ += np.bincount(cell, minlength=CELLS)
+            of_target = np.repeat(b.column("target").to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
+            own += np.bincount(cell[of_target], minlength=CELLS)
+        at = np.flatnonzero(all_)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(own[at]), pa.array(all_[at])], ["cell", "own", "n"])
+    rows = texts.select("text", "target").mapInArrow(run, "cell int, own long, n long").groupBy("cell").agg(F.sum("own").alias("own"), F.sum("n").alias("n")).toArrow()
+    out = np.zeros((2, CELLS))
+    out[:, rows.column("cell").to_numpy()] = rows.column("own").to_numpy(), rows.column("n").to_numpy()
+    return out[0], out[1]
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -94,14 +99,26 @@ def top_k(rows: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("selected", (F.col("key") > F.lit(value)) | ((F.col("key") == F.lit(value)) & (F.col("tie") <= F.lit(border))))
 
 
-def resample(raw: DataFrame, target: DataFrame, fraction: float, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+def chosen_ids(ids: DataFrame, most: int = TARGET_IDS) -> DataFrame:
+    """Distinct ids (one column, not null), those with the ``most`` lowest hashes: small enough to be sent to every task."""
+    c = ids.columns[0]
+    return ids.filter(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), c).limit(most)
+
+
+def resample(raw: DataFrame, target: DataFrame | Column, fraction: float, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """One row per row of ``raw``: id, log_weight, mean_log_weight, gumbel_key, selected, and ``more`` columns.
 
-    ``fraction`` of all rows (rounded) is selected, to be like the texts of ``target``."""
+    ``fraction`` of all rows (rounded) is selected, to be like the texts of ``target``: a frame, or a condition on ``raw``'s rows
+    (which are then read once for both models)."""
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     src = raw.select(F.col(id_col).alias("id"), text, *more)
     names = [c for c in src.columns if c != "text"]
-    shared = raw.sparkSession.sparkContext.broadcast(log_ratio(cell_counts(target.select(text)), cell_counts(src)))
+    if isinstance(target, DataFrame):
+        own, _ = cell_counts(target.select(text, F.lit(True).alias("target")))
+        _, all_ = cell_counts(src.select("text", F.lit(False).alias("target")))
+    else:
+        own, all_ = cell_counts(raw.select(text, F.coalesce(target, F.lit(False)).alias("target")))
+    shared = raw.sparkSession.sparkContext.broadcast(log_ratio(own, all_))
 
     def run(batches):
         for b in slices(batches):

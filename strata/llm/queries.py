@@ -41,9 +41,10 @@ def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     learned = labels.filter(remainder("doc_id", 5) != 0)
     fraction = learned.agg(F.coalesce(F.avg("quality"), F.lit(1.0))).first()[0]
-    docs = documents(spark, sf_dir)
-    target = docs.filter(remainder("doc_id", 5) != 0).join(learned.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    out = importance.resample(docs, target, fraction, "doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
+    # the ids are bounded and sent to the texts, which stay where they are
+    good = importance.chosen_ids(learned.filter("quality = 1").select("doc_id")).withColumn("good", F.lit(True))
+    docs = documents(spark, sf_dir).join(F.broadcast(good), "doc_id", "left")
+    out = importance.resample(docs, F.col("good"), fraction, "doc_id", "text", (remainder("doc_id", 5) == 0).alias("held_out"))
     return out.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), F.col("log_weight")))))).withColumn("kept", F.col("selected"))
 
 
