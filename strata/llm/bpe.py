@@ -6,8 +6,9 @@ join next. An entry is stale, and skipped, once the pair at its place has anothe
 rank. Decoding concatenates the vocabulary strings. Inside a task texts are split
 and numbered by Arrow, so each distinct pretoken of a slice is merged once.
 
-Defined results: a null text counts as empty and gives no ids. Strings of special
-tokens inside a text become their ids, as the tokenizers library does by default.
+Defined results: a null text counts as empty and gives no ids; repeated rows are rows of their
+own. Strings of special tokens inside a text become their ids, as the tokenizers library does by
+default. Decoding skips null ids and ids outside the vocabulary.
 """
 
 from __future__ import annotations
@@ -119,8 +120,8 @@ class Codec:
             return self.piece(text)
         return both((struct.pack("<I", self.special[x]), x.encode()) if x in self.special else self.piece(x) for x in self.cut.split(text) if x)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.strings[i] for i in ids])
+    def decode(self, ids: list[int | None]) -> bytes:
+        return b"".join([self.strings.get(i, b"") for i in ids])
 
     def encode_all(self, texts: pa.Array):
         """For each text its ids and the bytes they decode to."""

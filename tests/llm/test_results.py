@@ -45,6 +45,8 @@ def test_bpe_frames(spark):
     docs = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id long, text string")
     back = bpe.decode(bpe.encode(docs, path), path)
     assert sorted((r.doc_id, r.text) for r in back.collect()) == list(enumerate(ODD_TEXTS))
+    lost = spark.createDataFrame([(1, [31373, None, 99_999_999, 995]), (2, None)], "doc_id long, ids array<int>")
+    assert sorted((r.doc_id, r.text) for r in bpe.decode(lost, path).collect()) == [(1, "hello world"), (2, "")]
 
 
 def test_packing_words_equal_the_library(texts):
