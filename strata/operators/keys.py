@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from strata.session import materialize
 
 
+#: Keys of a load that are sent to all tasks at most (a few hundred bytes each at the most).
+SEND_KEYS = 500_000
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, on: list[str],
              null_safe: bool = True) -> DataFrame:
     """Rows of ``incoming`` whose key (one or more columns) is not in ``existing``.
@@ -29,6 +33,23 @@ def new_rows(incoming: DataFrame, existing: DataFrame, on: list[str],
     return incoming.join(ex, cond, "left_anti")
 
 
+def known_rows(existing: DataFrame, incoming: DataFrame, on: list[str], n_incoming: int,
+               null_safe: bool = True) -> DataFrame:
+    """Rows of a stored dimension whose key is among ``incoming``'s (``n_incoming`` rows, one per key).
+
+    The keys of a load of at most ``SEND_KEYS`` are sent to the dimension, which is read where it lies and not
+    shuffled, however large it has become; a larger load's keys meet it in a shuffle join.
+    """
+    keys = incoming.select(*[F.col(k).alias(f"_in_{i}") for i, k in enumerate(on)])
+    if n_incoming <= SEND_KEYS:
+        keys = F.broadcast(keys)
+    conds = [existing[k].eqNullSafe(keys[f"_in_{i}"]) if null_safe else existing[k] == keys[f"_in_{i}"] for i, k in enumerate(on)]
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond & c
+    return existing.join(keys, cond, "left_semi")
+
+
 def max_key(existing: DataFrame, key: str) -> int:
     """Largest existing surrogate key, 0 for an empty dimension (one scalar to the driver)."""
     v = existing.agg(F.max(key)).first()[0]

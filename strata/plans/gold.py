@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import path_level, to_long
 from strata.operators.dedup import distinct, keep_first
-from strata.operators.keys import assign_keys, max_key, new_rows
+from strata.operators.keys import assign_keys, known_rows, max_key, new_rows
 from strata.operators.nulls import fill_numeric
 from strata.operators.profile import write_profiled
 from strata.operators.star import Dim, star_join
 from strata.schemas import (CATEGORY_NATURAL_KEY, DIM_PRODUCT_COLUMNS, DIM_SELLER_COLUMNS,
                             FACT_COLUMNS, FACT_MEASURES, SRC_FILE, SRC_ROW)
+from strata.session import materialize
 from strata.sources.lake import write_parquet
 from strata.sources.mart import Load, Mart
 
@@ -121,9 +122,14 @@ def load_dimension(spark: SparkSession, rows: DataFrame, mart: Mart, table: str,
                    key: list[str], lake_path: str, surrogate: str | None = None,
                    null_safe: bool = True, load: Load | None = None) -> dict:
     """Write the new rows of one dimension, to the lake first; their profile, their folders in the
-    mart (for the log of loads), and the table with them. Without ``load`` they are appended at once."""
+    mart (for the log of loads), the table with them, and the rows for this load's keys (``of_load``), which are
+    all that its facts need. Without ``load`` they are appended at once."""
     existing = mart.read(table, schema=_dim_schema(rows, surrogate))
-    new = new_dimension_rows(rows, existing, key, surrogate=surrogate, null_safe=null_safe)
+    # one row per key of this load; the rest of the dimension takes no part
+    rows = materialize(rows, table)
+    known = materialize(known_rows(existing, rows, key, rows.count(), null_safe), f"{table}-known")
+    start = max_key(existing, surrogate) if surrogate else None
+    new = new_dimension_rows(rows, known, key, surrogate=surrogate, null_safe=null_safe, start=start)
     # the lake write counts its rows as it goes (K5 without a second job)
     written = write_profiled(new, table, lambda df: write_parquet(df, lake_path))
     landed = spark.read.schema(new.schema).parquet(lake_path)
@@ -135,7 +141,7 @@ def load_dimension(spark: SparkSession, rows: DataFrame, mart: Mart, table: str,
         else:
             mart.append(landed, table)
     current = existing.unionByName(landed) if staged else mart.read(table, schema=_dim_schema(rows, surrogate))
-    return {"table": current, "new": landed, "profile": written, "rows": folders}
+    return {"table": current, "of_load": known.unionByName(landed), "profile": written, "rows": folders}
 
 
 def _dim_schema(rows: DataFrame, surrogate: str | None):

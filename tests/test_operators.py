@@ -124,3 +124,17 @@ def test_strict_cast_fails_on_malformed_text(spark):
     with pytest.raises(Exception) as e:
         df.select(to_long("s", strict=True)).collect()
     assert isinstance(e.value, (PySparkException, Exception)) and "CAST_INVALID_INPUT" in str(e.value)
+
+
+def test_known_rows_leave_the_dimension_where_it_is(spark, workdir):
+    """The keys of a load go to the dimension: no exchange above its scan; the same rows as by a shuffle join."""
+    from strata.operators import keys
+    spark.range(1000).selectExpr("CASE WHEN id = 7 THEN NULL ELSE concat('n', id) END AS name", "id % 3 AS top", "id AS brand_id").write.parquet(f"{workdir}/dim")
+    dim = spark.read.parquet(f"{workdir}/dim")
+    load = spark.createDataFrame([("n5",), (None,), ("new",)], "name string")
+    sent = keys.known_rows(dim, load, ["name"], 3)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    moved = keys.known_rows(dim, load, ["name"], keys.SEND_KEYS + 1)
+    assert sorted(r.brand_id for r in sent.collect()) == sorted(r.brand_id for r in moved.collect()) == [5, 7]
+    assert [r.brand_id for r in keys.known_rows(dim, load, ["name"], 3, null_safe=False).collect()] == [5]
