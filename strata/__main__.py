@@ -21,14 +21,14 @@ from pyspark.sql import SparkSession
 
 
 def _mart(spark: SparkSession, args):
-    from strata.sources.mart import JdbcMart, ParquetMart
+    from strata.sources.mart import ParquetMart, StagedJdbcMart
     if args.mart_parquet:
         return ParquetMart(spark, args.mart_parquet)
     conf = spark.sparkContext.getConf()
     props = {k: conf.get(f"spark.strata.mart.{k}") for k in ("user", "password", "driver")
              if conf.get(f"spark.strata.mart.{k}", None)}
-    split = {t: (c, int(lo), int(hi)) for t, c, lo, hi in (x.split(":") for x in args.mart_split)}
-    return JdbcMart(spark, args.mart_jdbc, props, partition_columns=split)
+    split = dict(x.split(":") for x in args.mart_split)
+    return StagedJdbcMart(spark, args.mart_jdbc, props, partition_columns=split)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -40,8 +40,8 @@ def main(argv: list[str] | None = None) -> int:
         m = s.add_mutually_exclusive_group(required=True)
         m.add_argument("--mart-parquet")
         m.add_argument("--mart-jdbc")
-        s.add_argument("--mart-split", action="append", default=[], metavar="TABLE:COLUMN:LOW:HIGH",
-                       help="read a JDBC table in parallel ranges of a numeric column")
+        s.add_argument("--mart-split", action="append", default=[], metavar="TABLE:COLUMN",
+                       help="read a JDBC table in parallel ranges of a column")
         s.add_argument("--partition-column")
     sub.choices["run"].add_argument("--listings", required=True)
     sub.choices["run"].add_argument("--reviews", required=True)
