@@ -68,6 +68,29 @@ def test_repeats(odd):
     assert {r.kept for r in got if r.doc_id == 3} == {None} and {r.kept for r in got if r.doc_id == 11} == {"indeed"}
 
 
+def test_texts_with_one_id_and_hash(spark):
+    """Two texts without id whose 32-bit hashes are equal: only the one that repeats loses words."""
+    first = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen 132030"
+    other = "a b c d e f g h i j k l m n o p q 14646"
+    rows = spark.createDataFrame([(1, first), (None, first), (None, other)], "doc_id long, text string")
+    assert len({r.h for r in rows.select(F.hash("text").alias("h")).collect()}) == 1
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in superkmer.remove_repeats(rows).collect())
+    assert got == Counter({(1, 15, 0): 1, (None, 15, 15): 1, (None, 18, 0): 1})
+
+
+def test_spans_of_copies_do_not_grow(spark):
+    """However many equal rows without id there are, they have one list of spans."""
+    text = " ".join(f"w{i}" for i in range(400))
+    most = []
+    for n in (20, 2000):
+        rows = spark.createDataFrame([(1, text), *[(None, text)] * n], "doc_id long, text string").repartition(8)
+        spans = superkmer.repeated_spans(rows)
+        most.append(spans.distinct().count())
+        got = Counter((r.doc_id, r.n_removed) for r in superkmer.remove_repeats(rows).collect())
+        assert got == Counter({(None, 400): n, (1, 0): 1})
+    assert most[1] <= 8 * most[0] and most[1] < 400
+
+
 def test_packing(odd, none):
     path = vocabulary("word_bpe_49k.json")
     got = ss_packing.pack_documents(odd, path).collect()
