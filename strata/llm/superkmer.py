@@ -31,16 +31,37 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import grams, hashes, row_of, slices, two_columns, whole_groups, word_table
+from strata.llm.common import MIX, grams, hashes, mix, row_of, slices, two_columns, whole_groups, word_table
 
 SPAN = "id long, text_key int, start int, count int, check long"
 NAMES = ["id", "text_key", "start", "count", "check"]
 SPANS = pa.schema([("id", pa.int64()), ("text_key", pa.int32()), ("start", pa.int32()), ("count", pa.int32()), ("check", pa.int64())])
 #: Buckets for each shuffle partition.
 SPREAD = 8
+#: Longer words (bytes) are hashed one by one; masks of the first 0 to 8 bytes.
+LONG, FIRST = 64, np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 ZSTD = pa.Codec("zstd", compression_level=6)
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes at a time; long words by xxh3."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.concatenate([np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]], np.zeros(8, np.uint8)])
+    start, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    out, rows = mix(size.astype(np.uint64) * MIX), np.arange(len(words))
+    for at in range(0, LONG, 8):
+        rows = rows[size[rows] > at]
+        if not len(rows):
+            return out
+        out[rows] = mix(out[rows] * MIX + (eight[start[rows] + at] & FIRST[np.minimum(size[rows] - at, 8)]))
+    rows = rows[size[rows] > LONG]
+    out[rows] = hashes(words.take(pa.array(rows)))
+    return out
+
+
 def pack_block(ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, strings: list[bytes]) -> bytes:
     raw = b"".join([np.diff(ids, prepend=0).tobytes(), keys.astype(np.int32).tobytes(), starts.astype(np.int32).tobytes(), b"\n".join(strings)])
     return np.array([len(ids), len(raw)], np.int64).tobytes() + ZSTD.compress(raw, asbytes=True)
@@ -91,7 +112,7 @@ def super_kmers(batch: pa.RecordBatch, width: int, m: int):
     words, at, bounds = word_table(batch.column("text"))
     if len(at) < width:
         return None
-    h = hashes(words)[at]
+    h = word_hashes(words)[at]
     low = sliding_window_view(grams(h, m), width - m + 1).argmin(axis=1)
     start = np.arange(len(low))
     doc = row_of(bounds)[:len(low)]
@@ -143,7 +164,7 @@ def emit(batch: pa.RecordBatch, width: int, m: int, buckets: int):
 def window_least(strings: pa.Array, ids: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """For each window of the packed strings: row, number in its row, the smallest id of an equal window, and its place; and the words' hashes."""
     words, at, bounds = word_table(strings)
-    plain = hashes(words)[at]
+    plain = word_hashes(words)[at]
     h = grams(plain, width)
     doc = row_of(bounds)[:len(h)]
     start = np.flatnonzero(np.arange(len(h)) + width <= bounds[doc + 1])
@@ -224,7 +245,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             flat = words.take(pa.array(at))
             removed = np.zeros(len(at), bool)
             any_found = b.column("starts").null_count < b.num_rows
-            places = Places(hashes(words)[at]) if any_found else None
+            places = Places(word_hashes(words)[at]) if any_found else None
             for i, found in enumerate(zip(b.column("starts"), b.column("counts"), b.column("checks"), strict=True)):
                 if found[0].is_valid:
                     step = np.zeros(bounds[i + 1] - bounds[i] + 1, np.int64)

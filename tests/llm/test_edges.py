@@ -143,3 +143,15 @@ def test_pipeline_stages(spark, odd, none, labels, workdir):
         # toxicity keeps at most the 16 rows; one row a class is left, and each is packed
         assert docs.filter("piece = 0").count() == n
     assert n == 0
+
+
+def test_word_hashes():
+    """Equal words hash alike wherever they lie; words that differ in a byte, or in length, don't."""
+    import pyarrow as pa
+    words = ["a", "b", "ab", "é", "12345678", "123456789", "1234567", "x" * 64, "x" * 65, "x" * 66, "y" * 200, "x" * 63 + "y", "\x00", "\x00\x00", "a\x00"]
+    h = superkmer.word_hashes(pa.array(words))
+    assert len(set(h.tolist())) == len(words)
+    assert superkmer.word_hashes(pa.array(["pad", *words[::-1]]).slice(1)).tolist() == h.tolist()[::-1]
+    assert len(superkmer.word_hashes(pa.array([], pa.string()))) == 0
+    many = pa.array([f"w{i}" for i in range(200_000)])
+    assert len(set(superkmer.word_hashes(many).tolist())) == 200_000
