@@ -26,24 +26,28 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts whose score is 0.5 or more."""
+    """Rejects texts whose score is 0.5 or more. A null text counts as empty, without evidence; repeated rows
+    have equal scores and stay or go together; without labels nothing is rejected."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity.score(docs, labels, remainder("doc_id", 5) == 0, carry=docs.columns)
     return scored.filter("predicted = 0").select(docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays; of rows that tie, one. Null texts are equal to empty ones; a null
+    doc_id stays only where its texts have no other."""
     return keep_rows(docs, tree_dedup.exact_duplicates(docs, largest=True).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the row with the smallest doc_id stays."""
+    """Of each class of near duplicates the row with the smallest doc_id stays (a null one is the largest); of rows that
+    tie, one. A null or empty text, or one under five words, is near to equal texts only."""
     return keep_rows(docs, probminhash.near_duplicates(docs, words=5, threshold=0.8).filter("kept"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that a document with a smaller doc_id has too are removed; n_chars follows the text."""
+    """Words of passages that a document with a smaller doc_id has too are removed; n_chars follows the text. Rows with one
+    doc_id never cut each other; a null doc_id is the largest; null texts stay null, and texts without a cut stay as they are."""
     cut = superkmer.remove_repeats(docs, width=13, carry=docs.columns)
     changed = F.col("n_removed") > 0
     return cut.withColumn("text", F.col("kept")).withColumn(
@@ -51,7 +55,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all documents in sequences of 4096 tokens."""
+    """Places of all documents in sequences of 4096 tokens. A null or empty text is one piece, its end id; rows with one doc_id are
+    documents of their own."""
     return ss_packing.pack_documents(docs, vocabulary("word_bpe_49k.json"), end_id=1, capacity=4096)
 
 
