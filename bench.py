@@ -35,10 +35,12 @@ def from_landed_files(spark, sf_dir: str) -> dict[str, float]:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
-    listings, _ = timed("landing", catalog.land_stand_in, spark, sf_dir, f"{root}/landing")
+    listings, reviews = timed("landing", catalog.land_stand_in, spark, sf_dir, f"{root}/landing")
     bronze, _ = timed("bronze_landed", medallion.bronze_products, spark, listings, lake, load, partition_column="category")
     silver, _ = timed("silver_landed", medallion.silver_products, bronze, lake, load)
     timed("gold_landed", medallion.load_gold, spark, silver, lake, mart, load)
+    timed("gold_again", medallion.load_gold, spark, silver, lake, mart, load.again())
+    timed("reviews_landed", medallion.load_reviews, spark, reviews, lake, mart, Load.of_run("reviews"))
     return times
 
 
