@@ -11,9 +11,10 @@ A list full of neighbours above the threshold is saturated: more links may exist
 enlarged to all links of the node's component: the component's nodes compare with each
 other in double precision, in blocks of bounded size, which emit counts only.
 
-An audit compares bounded samples of nodes (``AUDIT`` with saturated components and as many
-others, lowest hashes) with all others of their label. Its recall is the mean over the nodes
-of a sample of the share of linked nodes that was found, the smaller of the two samples'.
+An audit compares bounded samples of nodes (``AUDIT`` with saturated components, as many others, and as many others
+whose best neighbour is at most ``NEAR`` below the threshold, so that rare links are met; lowest hashes) with all others
+of their label. Its recall is the mean over the nodes of a sample of the share of linked nodes that was found, the
+smaller of the saturated and other samples'; null where no sampled node has a link, and nothing was measured.
 While it is below ``RECALL``, ``k`` is doubled, groups by fresh projections are added and the
 descent goes on; after ``TRIES`` descents all nodes of a label compare in blocks.
 
@@ -24,8 +25,6 @@ are vectors of their own; a null id is never the smallest of a component that ha
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -38,7 +37,7 @@ from strata.session import materialize
 GROUP = 64  # nodes in a group of the first graph, on average
 TABLES = 6  # groupings by projections; two random ones come on top
 BLOCK = 512
-AUDIT, RECALL, TRIES = 512, 0.98, 3
+AUDIT, RECALL, TRIES, NEAR = 512, 0.98, 3, 0.1
 EDGES = "a long, b long, sim float"
 
 
@@ -266,11 +265,13 @@ def all_links(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]
     return materialize(component, "component"), materialize(counted, "counted")
 
 
-def audit(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
-    """Mean share of a node's linked nodes that was found, over a sample of nodes that have some: the smaller one of saturated nodes and others."""
+def audit(nodes: DataFrame, counted: DataFrame, threshold: float, graph: DataFrame) -> float | None:
+    """Mean share of a node's linked nodes that was found, over a sample of nodes that have some: the smaller one of saturated nodes and others; None for none."""
     split = nodes.select("node", "label", "exact").join(counted.select("node", "saturated"), "node", "left").withColumn("saturated", F.coalesce("saturated", F.lit(False)))
-    of = lambda saturated: split.filter(F.col("saturated") == saturated).orderBy(F.xxhash64("node"), "node").limit(AUDIT)
-    sample = of(False).union(of(True))
+    lowest = lambda df: df.orderBy(F.xxhash64("node"), "node").limit(AUDIT)
+    near = graph.filter(F.col("sim") >= threshold - NEAR).select(F.col("a").alias("node")).distinct()
+    close = lowest(split.filter("not saturated").join(near, "node", "left_semi"))
+    sample = lowest(split.filter("not saturated")).union(lowest(split.filter("saturated"))).union(close).dropDuplicates(["node"])
     asked = nodes.sparkSession.sparkContext.broadcast(sample.toPandas().to_dict("list"))
 
     def run(batches):
@@ -293,7 +294,7 @@ def audit(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
     true = nodes.select("node", "label", "exact").mapInArrow(run, "node long, others long").groupBy("node").agg(F.sum("others").alias("true")).filter(F.col("true") > 0)
     share = F.least(F.coalesce("linked", F.lit(0)), "true") / F.col("true")
     found = true.join(counted, "node", "left").groupBy(F.coalesce("saturated", F.lit(False))).agg(F.avg(share)).collect()
-    return min((r[1] for r in found), default=1.0)
+    return min((r[1] for r in found), default=None)
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -307,12 +308,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         links = exact_links(graph, nodes, threshold)
         component = materialize(connected_components(links), "component")
         counted = materialize(count_links(links, graph, nodes, component, k, threshold), "counted")
-        recall = audit(nodes, counted, threshold)
-        if recall >= RECALL:
+        recall = audit(nodes, counted, threshold, graph)
+        if recall is None or recall >= RECALL:
             break
         if attempt == TRIES - 1:
             component, counted = all_links(nodes, threshold)
-            recall = audit(nodes, counted, threshold)
+            recall = audit(nodes, counted, threshold, graph)
             break
         k *= 2
         more = first_graph(nodes, k, attempt + 1).withColumn("fresh", F.lit(True))
@@ -323,4 +324,4 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     least = tagged.groupBy("component").agg(F.min("id").alias("component_id"))
     return tagged.join(least, "component").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), F.lit(float(recall) if not math.isnan(recall) else 1.0).alias("audit_recall"))
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), F.lit(recall).cast("double").alias("audit_recall"))

@@ -16,8 +16,12 @@ are sent to the tasks that score texts, all others are joined. The base score ne
 token's count in the same way: frequent tokens (``HEAD`` at most) are sent, all others
 joined. What is sent or joined changes no result.
 
+A group of codes that end alike is bounded by the alphabet, whatever the corpus size: 256^(``ORDER`` - ``LOW``) codes of 24
+bytes at most, and what UTF-8 text has of them in practice.
+
 Defined results: a null text counts as empty and has its end alone; a null id counts as
-the empty text for the fold; without training text every byte is equally likely.
+the empty text for the fold; repeated rows count, and are scored, each by itself; ties in frequency
+only change what is sent or joined; without training text every byte is equally likely.
 """
 
 from __future__ import annotations
