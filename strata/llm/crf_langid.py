@@ -11,12 +11,13 @@ one with the largest expected number of words, its score that share.
 
 The lexicon counts the words of all training texts (hashed to ``LEXICON`` cells, summed
 by Spark). Weights are fitted by stochastic gradient ascent on the chains of a bounded
-sample of ``FIT_ROWS`` labelled texts (the lowest hashes of the id, as many of each
-language; documented limit, but one of each language at least; whole texts). Every language is learned:
+sample of ``FIT_ROWS`` labelled texts of ``FIT_BYTES`` together (the lowest hashes of id and text, as many of each
+language; documented limits, but one text of each language at least; whole texts, equal rows once). Every language is learned:
 lexicon and weights hold only the cells seen. A chain is at most ``CHAIN`` words long; longer texts are a row of chains.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter, and for
-every text if nothing was learned; null languages aren't learned.
+every text if nothing was learned; null languages aren't learned. Languages that tie: the first by name.
+Repeated rows count each in the lexicon, once in the sample, and are predicted alike.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import MIX, hashes, mix, slices, sums, word_table
 
 FIT_ROWS = 1000
+FIT_BYTES = 64 << 20
 LEXICON = 1 << 16
 HASHED = 1 << 18
 CHAIN = 64
@@ -260,11 +262,15 @@ def train_model(train: DataFrame, fit_rows: int) -> Model | None:
     if not labels:
         return None
     model = Model(labels, counts)
-    # as many texts of each language; their ids are chosen without moving texts
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = (train.filter("id is not null").select("lang", "id").withColumn("place", F.row_number().over(order))
-           .filter(F.col("place") <= -(-fit_rows // len(labels))).select("lang", "id").distinct())
-    sample = train.join(F.broadcast(ids), ["lang", "id"], "left_semi").toArrow().sort_by("id")
+    # as many texts of each language, chosen without moving texts; equal rows are one
+    train = train.withColumn("key", F.xxhash64("id", "text"))
+    own = Window.partitionBy("lang")
+    keys = train.select("lang", "key", F.octet_length("text").cast("long").alias("size")).distinct()
+    keys = keys.withColumn("place", F.row_number().over(own.orderBy("key"))).filter(F.col("place") <= -(-fit_rows // len(labels)))
+    keys = keys.withColumn("bytes", F.sum("size").over(own.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))
+    keys = keys.filter((F.col("place") == 1) | (F.col("bytes") <= FIT_BYTES // len(labels))).select("lang", "key")
+    chosen = train.join(F.broadcast(keys), ["lang", "key"], "left_semi").groupBy("lang", "key").agg(F.first("text").alias("text"))
+    sample = chosen.toArrow().sort_by([("key", "ascending"), ("lang", "ascending")])
     place = {x: i for i, x in enumerate(labels)}
     model.fit(sample.column("text").combine_chunks(), np.array([place[x] for x in sample.column("lang").to_pylist()]))
     return model
