@@ -352,6 +352,10 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "d
               .groupBy("id").agg(F.max("toxic").alias("toxic")))
     marked = chosen.withColumn(id_col, F.col("id")).filter(~held_out).select("id", "toxic").orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     sample = materialize(train.select("id", "text").join(F.broadcast(marked), "id").select("text", "toxic"), "labelled")
+    if sample.count() > fit_rows:  # ids that repeat: as many distinct texts
+        keyed = sample.withColumn("key", F.xxhash64("text", "toxic"))
+        lowest = keyed.select("key").distinct().orderBy("key").limit(fit_rows)
+        sample = materialize(keyed.join(F.broadcast(lowest), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).drop("key"), "labelled")
     weights, beta, share = learn(sample, model)
     names = ["held_out", *(f"c{i}" for i in range(len(carry)))]
     found = with_evidence(src.select("text", *names), model, weights, {c: src.schema[c].dataType.simpleString() for c in names})
