@@ -48,6 +48,8 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES, most_rows: in
             to = min(at + most_rows, max(at + 1, int(np.searchsorted(size, done + most, side="right"))))
             yield batch.slice(at, to - at)
             at = to
+    # the worker stays for later tasks: what this one used goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def word_table(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
