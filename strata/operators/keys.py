@@ -50,6 +50,12 @@ def known_rows(existing: DataFrame, incoming: DataFrame, on: list[str], n_incomi
     return existing.join(keys, cond, "left_semi")
 
 
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """``df``, marked to be sent to all tasks of a join when it has at most ``SEND_KEYS`` rows (a few
+    hundred bytes each at the most); a larger one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= SEND_KEYS else df
+
+
 def max_key(existing: DataFrame, key: str) -> int:
     """Largest existing surrogate key, 0 for an empty dimension (one scalar to the driver)."""
     v = existing.agg(F.max(key)).first()[0]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.keys import sent_if_small
 from strata.schemas import SRC_FILE, SRC_ROW
 
 
@@ -38,16 +39,33 @@ def category_path() -> Column:
     return F.when(F.col("p_partkey") % 17 == 0, F.lit(None).cast("string")).otherwise(path)
 
 
+def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that listings are made of, before they are widened: one per lineitem, with its
+    part and supplier, and its ``category`` (return flag + line status, 6 of them).
+
+    Suppliers (two numbers each) are sent to the lines where there are few enough. Parts come last, so
+    that the lines leave dealt by product, and what groups them by product needs no shuffle of its own.
+    """
+    l = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+        F.concat(F.lit("data_"), F.lower("l_returnflag"), F.lower("l_linestatus")).alias("category"))
+    p = table(spark, sf_dir, "part")
+    s = sent_if_small(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
+    return l.join(s, l.l_suppkey == s.s_suppkey).join(p, l.l_partkey == p.p_partkey)
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested bronze listings: one per lineitem, product = part, seller = supplier.
 
     Category file = return flag + line status (6 files); file order =
     (l_orderkey, l_partkey, l_suppkey), which is unique.
     """
-    l = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part")
-    s = table(spark, sf_dir, "supplier")
-    j = l.join(p, l.l_partkey == p.p_partkey).join(s, l.l_suppkey == s.s_suppkey)
+    return as_listings(listing_lines(spark, sf_dir))
+
+
+def as_listings(lines: DataFrame) -> DataFrame:
+    """Each line widened to its nested listing; rows stay where and in the order they are."""
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     pkey = pk.cast("string")
     sku = (F.when(ln == 7, F.concat(pkey, F.lit(".0")))
@@ -90,7 +108,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .otherwise(F.array(
                        meta(F.concat(F.col("p_type"), F.lit("-"), (F.col("p_size") % 5).cast("string"))),
                        meta(F.lit("second")))))
-    return j.select(
+    return lines.select(
         pk.alias("id"), sku.alias("sku"), F.col("p_name").alias("name"),
         F.replace(F.col("p_name"), F.lit(" "), F.lit("-")).alias("url_key"),
         F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("-p"), pkey,
@@ -115,7 +133,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor("p_retailprice").cast("long").alias("original_price"),
         F.struct(amplitude.alias("amplitude")).alias("visible_impression_info"),
         impression.alias("impression_info"),
-        F.concat(F.lit("data_"), F.lower("l_returnflag"), F.lower("l_linestatus")).alias(SRC_FILE),
+        F.col("category").alias(SRC_FILE),
         F.struct(ok.alias("o"), pk.alias("p"), sk.alias("s")).alias(SRC_ROW),
     )
 

@@ -147,3 +147,38 @@ def test_assign_keys_property(spark, names, parts, start):
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(parts)
     got = {r.name: r.sk for r in assign_keys(df, "sk", ["name"], start=start).collect()}
     assert got == {n: start + i + 1 for i, n in enumerate(sorted(names))}
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def _initial_plan(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("== Initial Plan ==") if "== Initial Plan ==" in plan else 0:]
+
+
+def _no_broadcast_by_size(spark, make):
+    """The plan as it is where tables are too large for Spark to broadcast them by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return _initial_plan(make())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stand_in_silver_shuffles_lines_and_parts_only(spark):
+    from strata.plans import catalog
+    plan = _no_broadcast_by_size(spark, lambda: catalog.silver_products_q(spark, SMALL))
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("BroadcastExchange") == 1
+
+
+def test_many_suppliers_are_not_sent(spark, monkeypatch):
+    """Above the bound suppliers meet the lines in a shuffle, before these are widened; the rows are the same."""
+    from strata.operators import keys
+    from strata.plans import catalog
+    sent = catalog.silver_products_q(spark, SMALL)
+    monkeypatch.setattr(keys, "SEND_KEYS", 1)
+    plan = _no_broadcast_by_size(spark, lambda: catalog.silver_products_q(spark, SMALL))
+    assert "BroadcastExchange" not in plan and plan.count("Exchange hashpartitioning") == 4
+    shuffled = catalog.silver_products_q(spark, SMALL)
+    assert sent.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(sent).count() == 0
