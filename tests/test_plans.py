@@ -182,3 +182,9 @@ def test_many_suppliers_are_not_sent(spark, monkeypatch):
     assert "BroadcastExchange" not in plan and plan.count("Exchange hashpartitioning") == 4
     shuffled = catalog.silver_products_q(spark, SMALL)
     assert sent.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(sent).count() == 0
+
+
+def test_facts_are_not_shuffled_for_small_dimensions(spark):
+    from strata.plans import catalog
+    plan = _no_broadcast_by_size(spark, lambda: catalog.fact_star_join(spark, SMALL))
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastExchange") == 4
