@@ -172,6 +172,13 @@ def test_stand_in_silver_shuffles_lines_and_parts_only(spark):
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("BroadcastExchange") == 1
 
 
+def test_landing_is_ordered_before_it_is_widened(spark):
+    from strata.plans import catalog
+    plan = _initial_plan(catalog.in_file_order(stand_in.listing_lines(spark, SMALL)))
+    above, below = plan.split("Exchange rangepartitioning")
+    assert "url_path" in above and "url_path" not in below and "Sort" in above
+
+
 def test_many_suppliers_are_not_sent(spark, monkeypatch):
     """Above the bound suppliers meet the lines in a shuffle, before these are widened; the rows are the same."""
     from strata.operators import keys
@@ -188,3 +195,23 @@ def test_facts_are_not_shuffled_for_small_dimensions(spark):
     from strata.plans import catalog
     plan = _no_broadcast_by_size(spark, lambda: catalog.fact_star_join(spark, SMALL))
     assert "SortMergeJoin" not in plan and plan.count("BroadcastExchange") == 4
+
+
+def test_landed_part_holds_its_categories_in_order(spark, workdir):
+    """A part landing equals that part of the whole landing, file order included."""
+    from strata.plans import catalog
+    some = F.col("category").isin(catalog.LOAD1_FILES)
+    whole, _ = catalog.land_stand_in(spark, SMALL, f"{workdir}/landing")
+    part = catalog._land_part(spark, SMALL, some, f"{workdir}/part")
+    rows = []
+    for path in (whole, part):
+        at = spark.read.parquet(path).where(some).select("category", "id", "seller_id", "price", F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("r"))
+        rows.append([r[:4] for r in sorted(at.collect(), key=lambda r: (r.category, r.f, r.r))])
+    assert rows[0] == rows[1] and len(rows[0]) > 1000
+    import glob
+    assert glob.glob(f"{part}/category=*/*.zstd.parquet") and not glob.glob(f"{part}/category=*/*.snappy.parquet")
+
+
+def test_scans_are_split_for_rows_that_widen(spark):
+    from strata.session import DEFAULTS
+    assert DEFAULTS["spark.sql.files.maxPartitionBytes"] == spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
