@@ -31,7 +31,9 @@ from strata.llm.common import slices, two_columns, word_table
 from strata.session import materialize
 
 #: Remembered words: two generations of so many.
-CACHED = 200_000
+CACHED = 300_000
+#: Text that is tokenized at once: the more, the fewer times a word is looked up.
+AT_ONCE = 16 << 20
 SIGNS = ".,;:!?%&*$#|)]}\""
 
 
@@ -113,9 +115,10 @@ def tokenize(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096,
              text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, and with ``with_ids`` the ids (array of int)."""
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, most=AT_ONCE):
             words, at, bounds = word_table(b.column("text"))
-            ids, at = word_ids(path).of(words.to_pylist()), at.tolist()
+            # by way of numpy: Arrow's own to_pylist() makes a scalar of each word first
+            ids, at = word_ids(path).of(words.to_numpy(zero_copy_only=False).tolist()), at.tolist()
             rows = []
             for i in range(b.num_rows):
                 data = b"".join(map(ids.__getitem__, at[bounds[i]:bounds[i + 1]])) + end

@@ -155,3 +155,11 @@ def test_word_hashes():
     assert len(superkmer.word_hashes(pa.array([], pa.string()))) == 0
     many = pa.array([f"w{i}" for i in range(200_000)])
     assert len(set(superkmer.word_hashes(many).tolist())) == 200_000
+
+
+def test_packing_looks_words_up_for_much_text_at_once():
+    import pyarrow as pa
+
+    from strata.llm.common import slices
+    texts = pa.RecordBatch.from_pydict({"text": ["word " * 200_000] * 12})  # 12 MB
+    assert len(list(slices([texts], most=ss_packing.AT_ONCE))) == 1 < len(list(slices([texts])))
