@@ -215,3 +215,46 @@ def test_landed_part_holds_its_categories_in_order(spark, workdir):
 def test_scans_are_split_for_rows_that_widen(spark):
     from strata.session import DEFAULTS
     assert DEFAULTS["spark.sql.files.maxPartitionBytes"] == spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
+def test_silver_layer_is_written_without_another_shuffle(spark, workdir, monkeypatch):
+    """The dedup is the layer's only shuffle, of columns that nothing else gives, and each task's categories come one after another."""
+    from strata.plans import catalog, medallion
+    from strata.sources.lake import write_parquet
+    from strata.sources.mart import Load
+    plans = []
+    monkeypatch.setattr(medallion, "write_parquet", lambda df, path, partition_by=None, rebalance=True: (
+        plans.append((_initial_plan(df), rebalance)), write_parquet(df, path, partition_by=partition_by, rebalance=rebalance)))
+    listing_dir, _ = catalog.land_stand_in(spark, SMALL, f"{workdir}/landing")
+    load, own = Load.of_run("x"), medallion.Lake(f"{workdir}/lake")
+    out, done = medallion.silver_products(medallion.bronze_products(spark, listing_dir, own, load, partition_column="category")[0], own, load)
+    (_, _), (plan, rebalance) = plans
+    assert not rebalance and plan.count("Exchange") == 1
+    below = plan.split("Exchange")[1]
+    assert "list_price" not in below.split("Scan")[0] and "is_official_store" not in below.split("Scan")[0]
+    assert out.count() == done["row_numbers"] > 1000
+    assert out.where("list_price <=> price - discount AND inventory_status <=> availability").count() == done["row_numbers"]
+
+
+def test_listings_are_landed_once(spark, workdir, monkeypatch):
+    """Queries with several loads land every listing once, each in its part; those without a category belong to no load but to the whole."""
+    from strata.plans import catalog
+    landed = []
+    real, lines = catalog.land_listings, stand_in.listing_lines
+    monkeypatch.setattr(catalog, "land_listings", lambda lines, path: landed.append(path) or real(lines, path))
+    holed = F.when(F.col("l_orderkey") % 7 != 0, F.col("category"))
+    monkeypatch.setattr(catalog, "listing_lines", lambda spark, d: lines(spark, d).withColumn("category", holed))
+    _, whole, parts, _, _, _ = catalog._landed_parts(spark, SMALL, "landed_once")
+    assert landed[1:] == parts and len(landed) == 3
+    n, uncategorised = lines(spark, SMALL).count(), lines(spark, SMALL).where("l_orderkey % 7 = 0").count()
+    got = read_listings(spark, whole, partition_column="category")
+    assert got.count() == n and got.where("_src_file IS NULL").count() == uncategorised > 0
+    assert sum(spark.read.parquet(p).count() for p in parts) == n - uncategorised
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    from strata.session import DEFAULTS
+    k = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(k) == DEFAULTS[k] == "true"
+    df = spark.range(2000).repartition(7).groupBy("id").count()
+    assert len(df.collect()) == len(df.collect()) == 2000  # the files are made again
