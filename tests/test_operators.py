@@ -138,3 +138,31 @@ def test_known_rows_leave_the_dimension_where_it_is(spark, workdir):
     moved = keys.known_rows(dim, load, ["name"], keys.SEND_KEYS + 1)
     assert sorted(r.brand_id for r in sent.collect()) == sorted(r.brand_id for r in moved.collect()) == [5, 7]
     assert [r.brand_id for r in keys.known_rows(dim, load, ["name"], 3, null_safe=False).collect()] == [5]
+
+
+def test_keep_first_placed_shuffles_keys_only(spark, workdir, monkeypatch):
+    """The same rows as keep_first, null keys included, and no exchange above wide rows; whole rows are shuffled above the bound or where places are shared."""
+    from pyspark.sql import functions as F
+    from strata.operators import dedup
+    from strata.sources.lake import file_position
+    path = f"{workdir}/rows"
+    (spark.range(0, 100_000, 1, 3).select(F.when(F.col("id") % 11 != 0, F.col("id") * 7919 % 4001).alias("k"), (F.col("id") % 3).cast("string").alias("j"), F.col("id").alias("wide"))
+        .write.parquet(path))
+    df = spark.read.parquet(path).select("*", file_position().alias("at"))
+    keys, rows = ["k", "j"], lambda x: sorted((str(r.k), r.j, r.wide) for r in x.collect())
+    want = rows(dedup.keep_first(df, keys, ["at"]))
+
+    def plan_of(x):
+        plan = x._jdf.queryExecution().executedPlan().toString()
+        return plan[plan.index("== Initial Plan ==") if "== Initial Plan ==" in plan else 0:]
+    got = dedup.keep_first_placed(df, keys, ["at"], "at")
+    plan = plan_of(got)
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1 and "Window" not in plan
+    assert got.columns == df.columns and rows(got) == want and len(want) > 12_000
+    twice = dedup.keep_first_placed(df.union(df), keys, ["at"], "at")
+    assert "Window" in plan_of(twice) and rows(twice) == want
+    nowhere = df.withColumn("at", F.when(F.col("k").isNotNull(), F.col("at")))
+    assert len(rows(dedup.keep_first_placed(nowhere, keys, ["at"], "at"))) == len(want)
+    monkeypatch.setattr(dedup, "SEND_BITMAPS", 1)
+    many = dedup.keep_first_placed(df, keys, ["at"], "at")
+    assert "Window" in plan_of(many) and rows(many) == want
